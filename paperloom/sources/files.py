@@ -27,6 +27,13 @@ EXPORT_COLUMNS = [
     "extraction_confidence",
 ]
 
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -58,17 +65,11 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; quotes are doubled and line breaks stay inside quotes."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .csv(path)
-    )
+    return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", True).csv(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -80,7 +80,7 @@ def europepmc_fields(item: Column) -> Fields:
         "pmid": item["pmid"],
         "pmcid": item["pmcid"],
         "journal_or_site": item["journalTitle"],
-        "publication_date": first_present(item["pubYear"], F.lit("")),
+        "publication_date": F.coalesce(item["pubYear"], F.lit("")),
         "source_url": F.concat_ws(
             "/",
             F.lit("https://europepmc.org/article"),

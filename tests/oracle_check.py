@@ -1,0 +1,51 @@
+"""Compare registered queries with their SQL counterparts in DuckDB."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+
+import duckdb
+
+
+def duckdb_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else round(value, 9)
+    if isinstance(value, bool) or value is None:
+        return value
+    if isinstance(value, int):
+        return value
+    return str(value)
+
+
+def _rows(columns: list[str], rows) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
+
+
+def differences(spark_df, con, sql: str) -> list[str]:
+    """Empty if both sides have the same columns and the same rows in any order."""
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    expected = _rows(names, result.fetchall())
+    got = _rows(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    problems = []
+    if sorted(names) != sorted(spark_df.columns):
+        problems.append(f"columns {sorted(spark_df.columns)} != {sorted(names)}")
+    if len(expected) != len(got):
+        problems.append(f"{len(got)} rows != {len(expected)}")
+    for e, g in zip(expected, got):
+        if e != g:
+            problems.append(f"got {str(g)[:600]}\n   expected {str(e)[:600]}")
+            break
+    return problems
