@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # White space as Python's str.strip sees it: the Unicode property plus the four
@@ -21,6 +21,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def evaluated(df: DataFrame) -> DataFrame:
+    """The same rows, with all columns computed at this point.
+
+    A filter on a computed column is pushed below the projection and computes the column
+    again there. Generated columns cannot be pushed through, so rows packed into a struct
+    and taken out again keep expensive columns from being computed twice.
+    """
+    return df.select(F.inline_outer(F.array(F.struct(*df.columns))))
+
+
 def present(value: Column) -> Column:
     """Null for null and for the empty string (no trimming first)."""
     return F.when(value != "", value)

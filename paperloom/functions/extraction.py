@@ -11,6 +11,7 @@ from paperloom.functions.exprs import (
     strip_space,
     unique_ignoring_case,
 )
+from paperloom.functions.patterns import any_of
 from paperloom.functions.vocab import DEFAULT_VOCABULARY, RATIO_TAIL, Vocabulary
 
 EVIDENCE_CHARS = 500
@@ -20,11 +21,6 @@ RATIO_NUMBERS = r"\d+(?:\.\d+)?(?::\d+(?:\.\d+)?)+"
 POINTS = {"lipids": 40, "payload": 20, "cells": 15, "route": 15, "ratio": 10}
 
 
-def _any_of(alternatives: tuple[str, ...], whole_words: bool = False) -> str:
-    body = "(?:" + "|".join(alternatives) + ")"
-    return "(?iuU)" + (rf"\b{body}\b" if whole_words else body)
-
-
 def _all_matches(text: Column, pattern: str) -> Column:
     hits = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
     return unique_ignoring_case(hits)
@@ -34,30 +30,30 @@ def extract_lipids(
     text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY, whole_words: bool = False
 ) -> Column:
     """Array of lipid names in order of appearance; empty if there are none."""
-    return _all_matches(text, _any_of(vocab.lipids, whole_words))
+    return _all_matches(text, any_of(vocab.lipids, whole_words))
 
 
 def extract_ratio(text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
     """First ratio cue with what follows it up to a line end, stop or colon."""
-    return strip_space(F.regexp_substr(text, F.lit(_any_of(vocab.ratio_cues) + RATIO_TAIL)))
+    return strip_space(F.regexp_substr(text, F.lit(any_of(vocab.ratio_cues) + RATIO_TAIL)))
 
 
 def extract_payload(
     text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY, whole_words: bool = False
 ) -> Column:
-    return F.regexp_substr(text, F.lit(_any_of(vocab.payloads, whole_words)))
+    return F.regexp_substr(text, F.lit(any_of(vocab.payloads, whole_words)))
 
 
 def extract_route(
     text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY, whole_words: bool = False
 ) -> Column:
-    return F.regexp_substr(text, F.lit(_any_of(vocab.routes, whole_words)))
+    return F.regexp_substr(text, F.lit(any_of(vocab.routes, whole_words)))
 
 
 def extract_cell_list(
     text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY, whole_words: bool = False
 ) -> Column:
-    return _all_matches(text, _any_of(vocab.cells, whole_words))
+    return _all_matches(text, any_of(vocab.cells, whole_words))
 
 
 def extract_cells(

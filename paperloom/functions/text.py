@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.exprs import SPACE, let, strip_space
+from paperloom.functions.patterns import any_of
 
 TAG = "<[^>]+>"
 
@@ -42,7 +43,7 @@ def split_sections(text: Column, headings: tuple[str, ...] = SECTION_HEADINGS) -
     heading is dropped; of equal headings the last one wins; without any heading the
     map holds the cleaned text under ``body``.
     """
-    pattern = "(?iuU)" + "|".join(headings)
+    pattern = any_of(headings)
     text = F.coalesce(text, F.lit(""))
     keys = F.transform(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
@@ -82,4 +83,6 @@ def split_sections(text: Column, headings: tuple[str, ...] = SECTION_HEADINGS) -
 def sections_long(df: DataFrame, sections: str = "sections") -> DataFrame:
     """One row per document and section."""
     others = [c for c in df.columns if c != sections]
-    return df.select(*others, F.explode(sections).alias("section", "section_text"))
+    # The map is never empty. The plain form would add a filter on its size, which is pushed
+    # below the projection that builds the map and builds it a second time.
+    return df.select(*others, F.explode_outer(sections).alias("section", "section_text"))

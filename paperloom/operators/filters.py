@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.exprs import evaluated
+
 # Sources that take part in discovery.
 DISCOVERY_SOURCES = (
     "PubMed",
@@ -42,4 +44,4 @@ def confident(
     """Records with at least the given confidence; ``None`` keeps all."""
     if threshold is None:
         return records
-    return records.where(F.col("extraction_confidence") >= F.lit(threshold))
+    return evaluated(records).where(F.col("extraction_confidence") >= F.lit(threshold))

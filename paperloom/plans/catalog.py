@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import clean_doi
+from paperloom.session import spread_if_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,8 +55,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are expensive to process, over all cores even if it is small."""
+    return spread_if_small(table(spark, sf_dir, name), f"{sf_dir}/{name}.parquet")
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CORPUS_SQL, documents=table(spark, sf_dir, "documents"))
+    return spark.sql(CORPUS_SQL, documents=text_table(spark, sf_dir, "documents"))
 
 
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

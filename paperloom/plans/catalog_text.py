@@ -10,6 +10,7 @@ from paperloom.functions import identifiers as ids
 from paperloom.functions import normalization as norm
 from paperloom.functions.exprs import unique_ignoring_case
 from paperloom.functions.html import plain_text
+from paperloom.functions.patterns import any_of
 from paperloom.functions.text import clean, sections_long
 from paperloom.operators.filters import confident
 from paperloom.operators.fulltext import parse_payloads
@@ -28,7 +29,7 @@ from paperloom.plans.catalog import (
     sql_clean,
     sql_first,
     sql_strip,
-    table,
+    text_table,
 )
 
 HEADINGS = "(?i)abstract|introduction|methods?|materials and methods|results|discussion|conclusion"
@@ -45,12 +46,12 @@ for _name, _char in (("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", "\xa0"), (
 
 @query("clean_text", f"SELECT page_id, {sql_clean('html')} AS cleaned FROM pages")
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", clean(F.col("html")).alias("cleaned"))
+    return text_table(spark, sf_dir, "pages").select("page_id", clean(F.col("html")).alias("cleaned"))
 
 
 @query("parse_html", f"SELECT page_id, {sql_clean(SQL_HTML_TEXT)} AS abstract_or_body FROM pages")
 def parse_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return text_table(spark, sf_dir, "pages").select(
         "page_id", plain_text(F.col("html")).alias("abstract_or_body")
     )
 
@@ -99,7 +100,7 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM corpus",
 )
 def unique_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pattern = "(?iuU)" + "|".join([*ex.DEFAULT_VOCABULARY.cells, "the", "and", "of"])
+    pattern = any_of((*ex.DEFAULT_VOCABULARY.cells, "the", "and", "of"))
     hits = F.regexp_extract_all("body", F.lit(pattern), F.lit(0))
     return corpus(spark, sf_dir).select(
         "doc_id", F.array_join(unique_ignoring_case(hits), "|").alias("words")

@@ -42,3 +42,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread_if_small(df: DataFrame, path: str) -> DataFrame:
+    """Deal the rows of a table over all cores if its files make fewer splits than that.
+
+    A small table is often one row group and so one task. A large one has more splits than
+    there are cores and is left alone.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = (
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+    )
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return df.repartition(cores) if size < cores * split else df

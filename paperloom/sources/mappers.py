@@ -231,9 +231,11 @@ def map_responses(
     caps = [c for c in (max_results, source.max_items) if c]
     if dict(landed.dtypes)["response"] == "string":
         landed = landed.withColumn("response", F.from_json("response", source.schema))
-    items = landed.select("response_seq", F.posexplode(f"response.{source.items}").alias("pos", "item"))
-    if caps:
-        items = items.where(F.col("pos") < min(caps))
+    # The plain form of the generator would add a filter on the size of the list, which is
+    # pushed below the projection that parses the response and parses it a second time.
+    items = landed.select(
+        "response_seq", F.posexplode_outer(f"response.{source.items}").alias("pos", "item")
+    ).where(F.col("pos") < min(caps) if caps else F.col("pos").isNotNull())
     fields = source.fields(F.col("item"))
     columns = [F.lit(source.name).alias("source_name")]
     for c in COMMON_COLUMNS[1:]:
