@@ -42,20 +42,26 @@ def resolve_fulltext(
         present(pmc_number(present(F.col("pmcid")))).alias("_pmc"),
         present(F.col("doi")).alias("_doi"),
     )
-    by_number = pmc.select(pmc_number(F.col("pmcid")).alias("_pmc"), present(F.col("xml")).alias("_xml"))
-    by_doi = locations.select(
-        F.col("doi").alias("_doi"), open_access_url(F.col("best_oa_location")).alias("_oa")
+    by_number = pmc.select(
+        pmc_number(F.col("pmcid")).alias("_pmc"), present(F.col("xml")).alias("_xml")
+    )
+    places = locations.select(
+        F.col("doi").alias("_doi"), open_access_url(F.col("best_oa_location")).alias("_url")
     )
     by_url = pages.select(
         F.col("url").alias("_url"), F.col("body").alias("_body"), F.col("status").alias("_http")
     )
+    # Keys are counted on the narrow inputs, so that no count repeats a join.
     row = F.col("document_id")
-    found = spread_left_join(docs, by_number, "_pmc", row, hot_rows=hot_rows)
-    found = found.withColumn("_doi", F.when(F.col("_xml").isNull(), F.col("_doi")))
-    found = spread_left_join(found, by_doi, "_doi", row, hot_rows=hot_rows)
-    found = found.withColumnRenamed("_oa", "_url")
-    found = spread_left_join(found, by_url, "_url", row, hot_rows=hot_rows)
-    failed = F.col("_url").isNotNull() & (F.col("_http").isNull() | (F.col("_http") >= 400))
+    by_doi = spread_left_join(places, by_url, "_url", F.col("_doi"), hot_rows=hot_rows)
+    found = spread_left_join(
+        docs, by_number, "_pmc", row, key_counts=_counts(docs, "_pmc"), hot_rows=hot_rows
+    )
+    found = spread_left_join(
+        found, by_doi, "_doi", row, key_counts=_counts(docs, "_doi"), hot_rows=hot_rows
+    )
+    from_page = F.col("_xml").isNull() & F.col("_url").isNotNull()
+    failed = from_page & (F.col("_http").isNull() | (F.col("_http") >= 400))
     return found.select(
         "document_id",
         "doi",
@@ -63,13 +69,17 @@ def resolve_fulltext(
         "abstract",
         F.coalesce(F.col("_xml"), F.when(~failed, F.col("_body"))).alias("fulltext"),
         F.when(F.col("_xml").isNotNull(), "pmc_xml")
-        .when(F.col("_url").isNotNull(), "oa_landing_or_fulltext")
+        .when(from_page, "oa_landing_or_fulltext")
         .otherwise("abstract_only")
         .alias("content_type"),
         F.when(failed, "FAILED").otherwise("FETCHED").alias("pipeline_status"),
     )
 
 
+def _counts(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.count("*").alias("n_rows"))
+
+
 def payload_text(df: DataFrame) -> Column:
     """Serialized payload of a row, the text its hash is taken of."""
     return json_object({c: F.col(c) for c in PAYLOAD_FIELDS})

@@ -179,9 +179,18 @@ def split_doi_conflicts(
 
 
 def orphans(rows: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
-    """Rows whose key has no parent; a null key refers to nothing and is no orphan."""
+    """Rows whose key has no parent; a null key refers to nothing and is no orphan.
+
+    An anti join would send all rows of one parent to one task.
+    """
     known = parents.select(F.col(parent_key).alias(key)).distinct()
-    return rows.where(F.col(key).isNotNull()).join(known, key, "left_anti")
+    looked_up = spread_left_join(
+        rows.where(F.col(key).isNotNull()),
+        known.withColumn("_known", F.lit(True)),
+        key,
+        F.xxhash64(*rows.columns),
+    )
+    return looked_up.where(F.col("_known").isNull()).select(*rows.columns)
 
 
 def without_output(inputs: DataFrame, done: DataFrame, key: str = "document_id") -> DataFrame:

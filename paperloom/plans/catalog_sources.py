@@ -236,9 +236,11 @@ def raw_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     "fetch_resolve",
     f"""
 , docs AS ({SQL_DOCUMENTS}),
-pmc AS (SELECT doc_id AS n, '<x>' || text || '</x>' AS xml FROM corpus WHERE doc_id % 8 = 1),
+pmc AS (SELECT doc_id AS n, '<x>' || text || '</x>' AS xml FROM corpus
+        WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
 places AS (SELECT min(doc_id) AS owner, doi, 'http://x/' || min(doc_id) AS url,
-             min(CASE WHEN doc_id % 9 = 2 THEN 404 ELSE 200 END) AS status
+             CASE WHEN min(doc_id) IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 404
+               ELSE 200 END AS status
            FROM (SELECT document_id AS doc_id, doi FROM docs WHERE doi IS NOT NULL)
            GROUP BY doi),
 found AS (
@@ -253,19 +255,21 @@ SELECT document_id, doi, pmcid, abstract,
 FROM found""",
 )
 def fetch_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of good quality have PMC full text; toxic ones lead to a missing page."""
     docs = corpus_documents(spark, sf_dir)
     texts = corpus(spark, sf_dir).select("doc_id", "text")
-    pmc = texts.where(F.col("doc_id") % 8 == 1).select(
+    labels = table(spark, sf_dir, "labels")
+    pmc = texts.join(labels.where(F.col("quality") == 1), "doc_id", "left_semi").select(
         F.col("doc_id").cast("string").alias("pmcid"),
         F.concat(F.lit("<x>"), "text", F.lit("</x>")).alias("xml"),
     )
+    missing = labels.where(F.col("toxic") == 1).select("doc_id", F.lit(404).alias("status"))
     owners = (
         docs.where(F.col("doi").isNotNull())
         .groupBy("doi")
-        .agg(
-            F.min("document_id").alias("doc_id"),
-            F.min(F.when(F.col("document_id") % 9 == 2, 404).otherwise(200)).alias("status"),
-        )
+        .agg(F.min("document_id").alias("doc_id"))
+        .join(missing, "doc_id", "left")
+        .withColumn("status", F.coalesce("status", F.lit(200)))
         .withColumn("url", F.concat(F.lit("http://x/"), "doc_id"))
     )
     no_url = F.lit(None).cast("string")

@@ -13,10 +13,20 @@ from paperloom.sources.mappers import Source, map_responses
 
 
 def landed_stream(
-    spark: SparkSession, path: str, schema: str = schemas.LANDED, files_per_batch: int = 1_000
+    spark: SparkSession,
+    path: str,
+    schema: str = schemas.LANDED,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of landed JSON files."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
+    """Stream of landed JSON files.
+
+    Without ``files_per_batch`` a run takes everything new as one batch, which suits sinks
+    that rewrite a snapshot per batch.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
 def document_stream(landed: DataFrame, source: Source, rank: int = 0) -> DataFrame:
@@ -37,7 +47,8 @@ def upsert_stream(
     """Merge each micro-batch into the snapshot table.
 
     Batch n writes version n + 1 from version n. A batch that is run again after a failure
-    finds its version complete and does nothing, or rewrites it from the same input.
+    finds its version complete and does nothing, or rewrites it from the same input. A table
+    therefore belongs to one checkpoint folder.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
