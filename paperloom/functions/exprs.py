@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# White space as Python's str.strip sees it: the Unicode property plus the four
-# information separators, which java.util.regex leaves out of \s.
-SPACE = r"[\s\x1c-\x1f]"
+# White space as Python's str.strip sees it; java.util.regex knows another set.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -43,7 +43,7 @@ def first_present(*values: Column) -> Column:
 
 def strip_space(text: Column) -> Column:
     """Remove leading and trailing white space of any Unicode kind."""
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def unique_ignoring_case(values: Column) -> Column:

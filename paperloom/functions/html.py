@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.exprs import SPACE, first_present, let
 from paperloom.functions.text import clean
 
-LOOKS_LIKE_MARKUP = rf"(?U)^{SPACE}*<"
+LOOKS_LIKE_MARKUP = f"^{SPACE}*<"
 UNSHOWN_ELEMENT = r"(?is)<(script|style|template|rt|rp)\b[^>]*>.*?</\1\s*>"
 COMMENT = r"(?s)<!--.*?-->"
 ELEMENT_TAG = r"""<[A-Za-z/!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""

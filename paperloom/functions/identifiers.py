@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paperloom.functions.exprs import present, strip_space
+from paperloom.functions.exprs import SPACE, present, strip_space
 
-DOI_PREFIX = r"(?iU)^(?:https?://doi\.org/|doi:[\s\x1c-\x1f]*)"
+DOI_PREFIX = rf"(?i)^(?:https?://doi\.org/|doi:{SPACE}*)"
 DOI_SITE = "https://doi.org/"
 YEAR = r"(\d{4})"
 

@@ -22,7 +22,7 @@ def _alias_map(vocab: Vocabulary) -> Column:
 def canonicalize(value: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
     """Canonical name of the trimmed value; the value itself if it has no alias."""
     trimmed = strip_space(F.coalesce(value, F.lit("")))
-    key = F.regexp_replace(F.lower(trimmed), r"^[ .]+|[ .]+\z", "")
+    key = F.btrim(F.lower(trimmed), F.lit(" ."))
     return F.coalesce(F.try_element_at(_alias_map(vocab), key), trimmed)
 
 

@@ -29,7 +29,7 @@ def strip_tags(text: Column) -> Column:
 
 def collapse_space(text: Column) -> Column:
     """Trim and turn each run of white space into one space."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?U){SPACE}+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE}+", " "))
 
 
 def clean(text: Column) -> Column:

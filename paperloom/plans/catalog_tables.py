@@ -35,7 +35,7 @@ from paperloom.plans.catalog import (
     query,
     table,
 )
-from paperloom.session import scratch_path
+from paperloom.session import checkpointed, scratch_path
 from paperloom.sources.files import (
     EXPORT_COLUMNS,
     export_view,
@@ -310,6 +310,7 @@ def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _records(spark, sf_dir).select(
         *[c.strip() for c in RECORD_COLUMNS.split(",")]
     )
+    records = checkpointed(records)
     load_records(records, path, 1)
     load_records(records, path, 1)
     return read_records(spark, path).select(
