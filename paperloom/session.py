@@ -1,12 +1,13 @@
 """Where jobs may put intermediate tables.
 
 Everything intermediate goes to the shared folder that the cluster names in
-``spark.checkpoint.dir``. Only a local master, where driver and executors share
-one disk, falls back to a temporary folder.
+``spark.checkpoint.dir``. Where it is unset, a local master, whose executors are
+threads of the driver, gets a folder of its own; a cluster has to name one.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(
                 f"set {CHECKPOINT_CONF} to a folder that all executors can reach"
             )
