@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import line_dedup, mixing, topk_search, url_filter
+from paperloom.llm import bpe, langid, line_dedup, main_text, mixing, topk_search, url_filter
 from paperloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,26 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "epochs", "part")
 
 
+@query("op3_langid")
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = held_out_column(F.col("doc_id"))
+    model = langid.train(docs, usable=~held_out)
+    found = langid.predict(docs, model, carry=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        held_out_column(F.col("row.doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
+def held_out_column(doc_id: Column) -> Column:
+    """True for the documents that no model may learn from; a null id counts as empty text."""
+    text = F.coalesce(doc_id.cast("string"), F.lit(""))
+    return F.crc32(F.encode(text, "utf-8")) % 4 == 2
+
+
 SQL_WEIGHTS = """
 SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
 FROM embeddings
@@ -90,6 +111,31 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+@query("op8_bpe")
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode_texts(docs, model, carry=["doc_id"])
+    return coded.select(
+        "row.doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op9_main_text")
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = main_text.extract(pages, carry=["page_id", "url"])
+    return found.select(
+        "row.page_id",
+        "row.url",
+        F.col("main_text").alias("text"),
+        F.char_length("main_text").cast("bigint").alias("n_chars"),
+    )
+
+
 RULES = [
     url_filter.Rule("net", "/", "block"),
     url_filter.Rule("example.net", "/en/", "allow"),
