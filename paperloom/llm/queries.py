@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, langid, line_dedup, main_text, mixing, topk_search, url_filter
+from paperloom.llm import (
+    bpe,
+    langid,
+    line_dedup,
+    main_text,
+    mixing,
+    token_files,
+    topk_search,
+    url_filter,
+)
 from paperloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +145,13 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_tokens(files, with_ids=False)
+
+
 RULES = [
     url_filter.Rule("net", "/", "block"),
     url_filter.Rule("example.net", "/en/", "allow"),
