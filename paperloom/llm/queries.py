@@ -14,6 +14,7 @@ from paperloom.llm import (
     line_dedup,
     main_text,
     mixing,
+    near_vectors,
     token_files,
     topk_search,
     url_filter,
@@ -120,6 +121,11 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+@query("op7_near_vectors")
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.link_vectors(table(spark, sf_dir, "embeddings"), min_cosine=0.98)
+
+
 @query("op8_bpe")
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
