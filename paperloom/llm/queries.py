@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import (
     bpe,
+    jaccard_join,
     langid,
     line_dedup,
     main_text,
@@ -121,6 +122,37 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+SQL_SHINGLES = """
+SELECT doc_id, CASE WHEN len(w) >= 4
+    THEN list_distinct(list_transform(generate_series(1, len(w) - 3),
+      lambda i: array_to_string(w[i:i + 3], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END AS s
+FROM (SELECT doc_id, regexp_extract_all({lowered}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents)
+"""
+
+
+@query(
+    "op6_jaccard_join",
+    f"""
+WITH RECURSIVE sets AS MATERIALIZED ({SQL_SHINGLES.format(lowered=SQL_LOWER.format("coalesce(text, '')"))}),
+parts AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM parts a JOIN parts b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
+""",
+)
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = jaccard_join.join_documents(docs, similarity=(85, 100), width=4)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 @query("op7_near_vectors")
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.link_vectors(table(spark, sf_dir, "embeddings"), min_cosine=0.98)
