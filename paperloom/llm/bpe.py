@@ -195,19 +195,21 @@ def encode_texts(
     model_file: str,
     text_col: str = "text",
     carry: list[str] | None = None,
+    decode: bool = True,
 ) -> DataFrame:
     """Rows (row, ids array<int>, decoded string): whole texts encoded, and decoded again.
 
+    ``decode`` off leaves the last column out.
+
     ``model_file`` is read once by the driver and sent to the tasks; it is a vocabulary of
     fixed size. Null and empty texts have no ids and decode to the empty string. ``row`` holds
     the columns of ``carry`` (all for None) whatever their names are.
     """
     with open(model_file, encoding="utf-8") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
-    fields = [
-        StructField("ids", ArrayType(IntegerType(), False), False),
-        StructField("decoded", StringType(), False),
-    ]
+    fields = [StructField("ids", ArrayType(IntegerType(), False), False)]
+    if decode:
+        fields.append(StructField("decoded", StringType(), False))
 
     def prepare():
         bpe = WordBpe(model.value)
@@ -217,7 +219,10 @@ def encode_texts(
             offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             values = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
-            return [lists, pa.array([bpe.decode(i) for i in ids], pa.string())]
+            made = [lists]
+            if decode:
+                made.append(pa.array([bpe.decode(i) for i in ids], pa.string()))
+            return made
 
         return work
 
