@@ -1,0 +1,68 @@
+import math
+from collections import Counter
+
+import pytest
+
+from paperloom.llm.mixing import mix
+
+
+def brute_targets(sizes, weights, share, most):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_, target = share * sum(sizes.values()), set(names), {}
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        full = {s for s in open_ if most * sizes[s] <= w[s] * level}
+        if not full:
+            target |= {s: w[s] * level for s in open_}
+            break
+        target |= {s: most * sizes[s] for s in full}
+        left -= sum(most * sizes[s] for s in full)
+        open_ -= full
+    return target
+
+
+def test_targets_and_exact_cuts(documents, words):
+    rows = [
+        (i, words(i, 1 + i * 7 % 40), "en", ["b", "a", "é", None, "z"][i * i % 7 % 5])
+        for i in range(300)
+    ]
+    rows += [(300, None, None, "a"), (301, "", None, "empty"), (302, " \n\t ", None, "empty")]
+    rows += [(None, "no id", "en", "a"), (5, "same id", "en", "b"), rows[9]]
+    rows += [(400, words(400, 5000), "en", "a")]
+    got = mix(documents(rows), [5, 2, 1]).collect()
+    assert len(got) == len(rows)
+    sizes = Counter({s: 0 for _, _, _, s in rows})
+    for _, text, _, source in rows:
+        sizes[source] += len((text or "").split())
+    expected = brute_targets(sizes, [5, 2, 1], 1.5, 2)
+    taken = Counter()
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(expected[r["source"]])
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        assert r["taken"] == r["epochs"] * r["size"] + r["part"]
+        taken[r["source"]] += r["taken"]
+    for source, target in expected.items():
+        assert taken[source] == pytest.approx(target, abs=1.0001)
+        cut = [r for r in got if r["source"] == source and 0 < r["part"] < r["size"]]
+        assert len(cut) <= 1
+    assert sum(expected.values()) == pytest.approx(1.5 * sum(sizes.values()))
+    again = mix(documents(rows[::-1]), [5, 2, 1]).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+
+
+def test_many_ranges_give_the_same_cut(documents, words, monkeypatch):
+    from paperloom.llm import mixing
+
+    rows = [(i, words(i, 1 + i % 9), "en", "ab"[i % 5 == 0]) for i in range(200)]
+    one = sorted(map(tuple, mix(documents(rows), [1, 3], most=1.2).collect()))
+    monkeypatch.setattr(mixing, "DOCS_PER_RANGE", 7)
+    assert sorted(map(tuple, mix(documents(rows), [1, 3], most=1.2).collect())) == one
+
+
+def test_empty_table_and_only_empty_texts(documents):
+    assert mix(documents([]), [5, 2, 1]).count() == 0
+    got = mix(documents([(1, None, None, None), (2, "", None, "a")]), [5, 2, 1]).collect()
+    assert [(r["taken"], r["target"]) for r in got] == [(0, 0.0)] * 2
+    assert math.isfinite(got[0]["target"])
