@@ -14,7 +14,7 @@ that Spark writes can hold them.
 
 from __future__ import annotations
 
-import re
+import os
 import struct
 import sys
 import zlib
@@ -111,9 +111,11 @@ def read_file(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 # --- encoding --------------------------------------------------------------------------
 
-IRREGULAR = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
-KNOWN = 300_000  # different pieces a worker remembers before it starts anew
-JOINED = 1 << 16  # characters of new pieces encoded by one call
+# White space other than single spaces and line feeds between other characters.
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+IRREGULAR = ["  ", " \n", "\n ", "\n\n", *OTHER_SPACE]
+KNOWN = 600_000  # pieces in each of the two generations that a worker remembers
+JOINED = 1 << 14  # bytes of new pieces encoded as one string
 
 
 class PieceEncoder:
@@ -130,7 +132,16 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def regular(self, text: str) -> bool:
+        if text[0] in " \n" or text[-1] in " \n":
+            return False
+        return not any(s in text for s in IRREGULAR) and not any(s in text for s in self.special)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -138,49 +149,52 @@ class PieceEncoder:
 
     def learn(self, new: list[str]) -> None:
         """Encode pieces that begin with a space or a line feed."""
-        start = 0
-        while start < len(new):
-            end, size = start, 0
-            while end < len(new) and size < JOINED:
-                size += len(new[end])
-                end += 1
-            chosen = new[start:end]
-            encoded = self.tokenizer.encode("".join(chosen), add_special_tokens=False)
-            ids = np.array(encoded.ids, dtype="<u4")
-            begins = np.array([o[0] for o in encoded.offsets])
-            bounds = np.cumsum([0, *map(len, chosen)])
-            cuts = np.searchsorted(begins, bounds)
-            for piece, a, b in zip(chosen, cuts[:-1], cuts[1:]):
-                self.known[piece] = ids[a:b].tobytes()
-            start = end
+        sizes = np.fromiter((len(p.encode()) for p in new), dtype=np.int64, count=len(new))
+        groups = np.cumsum(sizes) // JOINED
+        starts = np.searchsorted(groups, np.arange(groups[-1] + 2)) if len(new) else np.zeros(1, int)
+        joined = ["".join(new[a:b]) for a, b in zip(starts, starts[1:])]
+        for a, b, raw in zip(starts, starts[1:], self.whole(joined)):
+            # Ids of a byte-level vocabulary stand for a fixed number of bytes each.
+            ends = np.cumsum(self.n_bytes[np.frombuffer(raw, dtype="<u4")])
+            cuts = np.searchsorted(ends, np.cumsum(sizes[a:b])) * 4 + 4
+            at = 0
+            for piece, cut in zip(new[a:b], cuts.tolist()):
+                self.known[piece] = raw[at:cut]
+                at = cut
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         cut: dict[int, list[str]] = {}
         odd = []
         for i, text in enumerate(texts):
-            if IRREGULAR.search(text) or any(s in text for s in self.special):
-                odd.append(i)
-            elif text:
+            if not text:
+                continue
+            if self.regular(text):
                 # The mark is a character that no text of this branch contains.
                 cut[i] = text.replace(" ", "\t ").replace("\n", "\t\n").split("\t")
+            else:
+                odd.append(i)
         for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
             out[i] = ids
         firsts = list(cut)
-        heads = self.whole([cut[i][0] for i in firsts])
+        heads = self.whole([cut[i].pop(0) for i in firsts])
+        wanted = set().union(*cut.values())
+        missing = wanted - self.known.keys()
+        if len(self.known) + len(missing) > KNOWN:
+            # What is still in use moves to the new generation, the rest is forgotten later.
+            self.older, self.known, missing = self.known, {}, wanted
+        again = missing & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        self.learn(list(missing - again))
         known = self.known
-        new = {p for i in firsts for p in cut[i][1:]} - known.keys()
-        if len(known) + len(new) > KNOWN:
-            known.clear()
-            new = {p for i in firsts for p in cut[i][1:]}
-        self.learn(list(new))
         for i, head in zip(firsts, heads):
-            out[i] = head + b"".join([known[p] for p in cut[i][1:]])
+            out[i] = head + b"".join(map(known.__getitem__, cut[i]))
         return out
 
 
 def worker_encoder(file_text: str) -> PieceEncoder:
     """The encoder of this Python worker, which Spark uses for one task after another."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
     held = sys.__dict__.setdefault("_piece_encoders", {})
     key = zlib.crc32(file_text.encode())
     if key not in held:
