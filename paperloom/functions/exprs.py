@@ -71,11 +71,36 @@ def json_string_array(values: Column) -> Column:
     A quote inside an element is escaped, so the three characters replaced here
     can only be an element boundary.
     """
-    return F.replace(
-        F.to_json(values, {"writeNonAsciiCharacterAsCodePoint": "true"}),
-        F.lit('","'),
-        F.lit('", "'),
-    )
+    return F.replace(_ascii_json(values), F.lit('","'), F.lit('", "'))
+
+
+def _ascii_json(values: Column) -> Column:
+    """JSON text of an array of strings in ASCII, with hexadecimal digits in lower case.
+
+    A backslash of the text itself is doubled, so an escape follows an even number of them.
+    """
+    text = F.to_json(values, {"writeNonAsciiCharacterAsCodePoint": "true"})
+    escape = r"(?<!\\)(?:\\\\)*\\u[0-9A-F]{4}"
+
+    def lowered(t: Column) -> Column:
+        around = F.split(t, escape, -1)
+        found = F.regexp_extract_all(t, F.lit(f"({escape})"), F.lit(1))
+        pairs = F.zip_with(
+            around,
+            found,
+            lambda a, e: F.concat(
+                a,
+                F.coalesce(
+                    F.concat(
+                        F.substring(e, F.lit(1), F.length(e) - 4), F.lower(F.right(e, F.lit(4)))
+                    ),
+                    F.lit(""),
+                ),
+            ),
+        )
+        return F.array_join(pairs, "")
+
+    return F.when(text.rlike(escape), let(text, lowered)).otherwise(text)
 
 
 def json_scalar(value: Column) -> Column:

@@ -57,16 +57,18 @@ def search_queries(
     secondary: Column,
     *,
     style: str = "generic",
-    max_secondary: int = 2,
-    max_queries: int = 5,
+    max_secondary: int | None = 2,
+    max_queries: int | None = 5,
 ) -> Column:
     """Every primary term with every secondary term, in order, the first ``max_queries``.
 
     ``fielded`` restricts both terms to title and abstract and uses only the first
-    ``max_secondary`` secondary terms; ``generic`` URL-quotes the terms.
+    ``max_secondary`` secondary terms; ``generic`` URL-quotes the terms. ``None`` lifts
+    either limit.
     """
     if style == "fielded":
-        secondary = F.slice(secondary, 1, max_secondary)
+        if max_secondary is not None:
+            secondary = F.slice(secondary, 1, max_secondary)
 
         def phrase(p: Column, s: Column) -> Column:
             return F.concat(p, F.lit("[TitleAbstract] AND "), s, F.lit("[TitleAbstract]"))
@@ -81,4 +83,4 @@ def search_queries(
     queries = F.flatten(
         F.transform(primary, lambda p: F.transform(secondary, lambda s: phrase(p, s)))
     )
-    return F.slice(queries, 1, max_queries)
+    return queries if max_queries is None else F.slice(queries, 1, max_queries)

@@ -14,6 +14,12 @@ from paperloom.functions.exprs import (
 from paperloom.functions.vocab import DEFAULT_VOCABULARY, Vocabulary
 
 
+# An array of scalars and nothing else, up to white space around it.
+_STRING = r'"(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]|\\u[0-9A-Fa-f]{4})*+"'
+_SCALAR = rf"(?:{_STRING}|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)"
+JSON_STRINGS = rf"^\s*\[\s*(?:{_SCALAR}\s*(?:,\s*{_SCALAR}\s*)*+)?\]\s*$"
+
+
 def _alias_map(vocab: Vocabulary) -> Column:
     pairs = [F.lit(x) for pair in vocab.aliases.items() for x in pair]
     return F.create_map(*pairs)
@@ -32,8 +38,12 @@ def normalize_lipids(values: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) ->
 
 
 def normalize_lipids_json(text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
-    """The same on JSON text; text that is no JSON array stays as it is."""
-    parsed = F.from_json(text, "array<string>")
+    """The same on JSON text; text that is no JSON array stays as it is.
+
+    The parser stops at the end of the array, so what else the text holds is checked too.
+    """
+    whole = text.rlike(JSON_STRINGS)
+    parsed = F.when(whole, F.from_json(text, "array<string>"))
     return F.coalesce(json_string_array(normalize_lipids(parsed, vocab)), text)
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.exprs import first_present
 from paperloom.operators.joins import HOT_ROWS, spread_left_join
 from paperloom.operators.ranking import assign_ids
+from paperloom.session import written
 
 DOCUMENT_KEY = ["source_name", "external_id"]
 NULLABLE_COLUMNS = [
@@ -29,9 +31,9 @@ DISCOVERED = "DISCOVERED"
 def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
     """One row per key: last non-null value of each column, last title and status.
 
-    ``first_seq`` and ``last_seq`` are the first and last position of the key in the
-    batch. Rows without a complete key stay as they are: they match nothing, not even
-    each other.
+    ``first_seq`` is the first position of the key in the batch, ``value_seq`` the position
+    each value comes from. Rows without a complete key stay as they are: they match nothing,
+    not even each other.
     """
     carried = [c for c in NULLABLE_COLUMNS if c in batch.columns]
     filled = batch.withColumns(
@@ -42,75 +44,107 @@ def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
             else F.lit(DISCOVERED),
         }
     )
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-    latest = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in carried
-    ]
+    values = [*carried, "title", "pipeline_status"]
+    has_key = _has_key(key)
+
+    def position(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.col(order))
+
+    def positions(of: Callable[[str], Column]) -> Column:
+        return F.create_map(*[x for c in values for x in (F.lit(c), of(c))]).alias("value_seq")
+
     keyed = (
         filled.where(has_key)
         .groupBy(*key)
         .agg(
-            *latest,
-            F.max_by("title", order).alias("title"),
-            F.max_by("pipeline_status", order).alias("pipeline_status"),
+            *[F.max_by(c, position(c)).alias(c) for c in values],
             F.min(order).alias("first_seq"),
-            F.max(order).alias("last_seq"),
+            positions(lambda c: F.max(position(c))),
         )
     )
     unkeyed = filled.where(~has_key).select(
-        *key,
-        *carried,
-        "title",
-        "pipeline_status",
-        F.col(order).alias("first_seq"),
-        F.col(order).alias("last_seq"),
+        *key, *values, F.col(order).alias("first_seq"), positions(position)
     )
     return keyed.unionByName(unkeyed)
 
 
+def _has_key(key: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+
+
 def upsert_documents(
     current: DataFrame, batch: DataFrame, key: list[str] | None = None, order: str = "ingest_seq"
 ) -> DataFrame:
     """New snapshot of ``current`` after the batch.
 
-    A known key takes each non-null value of the batch and keeps the old one otherwise;
-    its status is always the new one. Unknown keys get the next ids in order of arrival.
-    Only keyed rows are joined, since rows without a key would all meet in one task.
+    A known key takes each non-null value of the batch and keeps the old one otherwise; its
+    status is always the new one. If the snapshot has a column ``value_seq``, it remembers the
+    position each value came from, and only values from later positions replace it: then the
+    result is the same however rows are cut into batches and whenever they arrive, but for the
+    ids. Unknown keys get the next ids in order of arrival.
+
+    Ids are found on keys alone; the wide rows are joined once. Only keyed rows are joined,
+    since rows without a key would all meet in one task.
     """
     key = key or DOCUMENT_KEY
     carried = [c for c in NULLABLE_COLUMNS if c in current.columns]
-    folded = fold_updates(batch, key, order)
+    folded = written(fold_updates(batch, key, order), "folded")
     for c in carried:
         if c not in folded.columns:
             folded = folded.withColumn(c, F.lit(None).cast(current.schema[c].dataType))
     values = [*carried, "title", "pipeline_status"]
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    has_key = _has_key(key)
+
+    known = current.where(has_key).select(*key)
+    arrivals = (
+        folded.where(has_key)
+        .select(*key, "first_seq")
+        .join(known, key, "left_anti")
+        .select("first_seq")
+        .unionByName(folded.where(~has_key).select("first_seq"))
+    )
+    last_id = current.agg(F.max("document_id")).first()[0] or 0
+    ids = assign_ids(arrivals, "first_seq", "new_id", last_id + 1)
+    fresh = folded.join(ids, "first_seq", "left")
 
+    remembers = "value_seq" in current.columns
     old = current.where(has_key).select(
-        *key, "document_id", *[F.col(c).alias(f"old_{c}") for c in values]
-    )
-    merged = old.join(folded.where(has_key), key, "full").select(
-        "document_id",
-        "first_seq",
         *key,
-        *[F.coalesce(F.col(c), F.col(f"old_{c}")).alias(c) for c in values],
+        "document_id",
+        *[F.col(c).alias(f"old_{c}") for c in values],
+        *([F.col("value_seq").alias("old_seq")] if remembers else []),
     )
-    columns = ["document_id", *key, *values]
-    arrivals = merged.where(F.col("document_id").isNull()).unionByName(
-        folded.where(~has_key).select(
-            F.lit(None).cast("bigint").alias("document_id"), "first_seq", *key, *values
-        )
+
+    def chosen(c: str) -> Column:
+        if not remembers:
+            return F.coalesce(F.col(c), F.col(f"old_{c}"))
+        newer = F.coalesce(_at("value_seq", c) >= _at("old_seq", c), _at("old_seq", c).isNull())
+        return F.when(F.col(c).isNotNull() & newer, F.col(c)).otherwise(F.col(f"old_{c}"))
+
+    positions = F.create_map(
+        *[
+            x
+            for c in values
+            for x in (F.lit(c), F.greatest(_at("value_seq", c), _at("old_seq", c)))
+        ]
     )
-    last_id = current.agg(F.max("document_id")).first()[0] or 0
-    numbered = assign_ids(arrivals.drop("document_id"), "first_seq", "document_id", last_id + 1)
-    return (
-        merged.where(F.col("document_id").isNotNull())
-        .select(*columns)
-        .unionByName(current.where(~has_key).select(*columns))
-        .unionByName(numbered.select(*columns))
+    columns = ["document_id", *key, *values, *(["value_seq"] if remembers else [])]
+    merged = old.join(fresh.where(has_key), key, "full").select(
+        F.coalesce("document_id", "new_id").alias("document_id"),
+        *key,
+        *[chosen(c).alias(c) for c in values],
+        *([positions.alias("value_seq")] if remembers else []),
+    )
+    unkeyed = fresh.where(~has_key).withColumnRenamed("new_id", "document_id")
+    return merged.unionByName(current.where(~has_key).select(*columns)).unionByName(
+        unkeyed.select(*columns)
     )
 
 
+def _at(positions: str, column: str) -> Column:
+    return F.try_element_at(positions, F.lit(column))
+
+
 def add_new_sources(sources: DataFrame, candidates: DataFrame, order: str = "seq") -> DataFrame:
     """Insert-or-ignore by name: known sources stay as they are, new ones get the next ids."""
     first = candidates.groupBy("name").agg(
@@ -129,14 +163,22 @@ def add_new_sources(sources: DataFrame, candidates: DataFrame, order: str = "seq
 
 
 def apply_changes(
-    current: DataFrame, changes: DataFrame, key: str = "document_id"
+    current: DataFrame, changes: DataFrame, key: str = "document_id", order: str | None = None
 ) -> DataFrame:
     """Overwrite columns of the rows named in ``changes``; null means no change.
 
-    Both sides have one row per key. Keys that ``current`` lacks are ignored.
+    ``current`` has one row per key. Several changes of a key count in the order of ``order``,
+    a column of ``changes``; without it their order is open, and the largest value of each
+    column counts. Keys that ``current`` lacks are ignored.
     """
-    columns = [c for c in changes.columns if c != key]
-    renamed = changes.select(key, *[F.col(c).alias(f"new_{c}") for c in columns])
+    columns = [c for c in changes.columns if c not in (key, order)]
+    folded = [
+        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))) if order else F.max(c)
+        for c in columns
+    ]
+    renamed = changes.groupBy(key).agg(
+        *[value.alias(f"new_{c}") for c, value in zip(columns, folded)]
+    )
     joined = current.join(renamed, key, "left")
     return joined.select(
         *[

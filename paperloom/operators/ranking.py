@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.session import checkpointed
+from paperloom.session import written
 
 SALTS = 64
 
@@ -53,12 +53,13 @@ def assign_ids(df: DataFrame, seq: str, id_name: str, start: int = 1) -> DataFra
 
     Rows are split into ranges of equal size and sorted inside them; only the number of
     rows per range goes through a running total. Range borders come from a sample, so the
-    numbered rows are checkpointed before the totals are taken of them.
+    numbered rows are written before the totals are taken of them.
     """
-    placed = checkpointed(
+    placed = written(
         df.repartitionByRange(seq)
         .sortWithinPartitions(seq)
-        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "numbered",
     )
     # The upper bits of a monotonically increasing id are the number of the partition.
     placed = placed.withColumn("_range", F.shiftright("_at", 33))

@@ -49,6 +49,17 @@ def stage_metrics(docs: DataFrame) -> DataFrame:
     return docs.groupBy("pipeline_status").agg(F.count("*").alias("n_documents"))
 
 
+def removed_duplicates(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: records before and after the removal of duplicates, and their difference."""
+    counts = [
+        df.agg(F.count("*").alias(name)).withColumn("_row", F.lit(1))
+        for df, name in ((before, "n_before"), (after, "n_after"))
+    ]
+    return counts[0].join(counts[1], "_row").select(
+        "n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("n_removed")
+    )
+
+
 def run_log_row(
     docs: DataFrame,
     inserted: DataFrame,

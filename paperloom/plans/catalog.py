@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import clean_doi
-from paperloom.session import spread_if_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +26,8 @@ SELECT doc_id, source AS source_name,
   CASE WHEN doc_id % 11 = 0 THEN ''
        ELSE trim(regexp_extract(text, '^([^.]*)', 1)) END AS title,
   concat('<p>Pre ', CASE doc_id % 6
-    WHEN 0 THEN 'Abstract SM-102, DSPC, cholesterol, and PEG-lipid at molar ratio 50:10:38.5:1.5. siRNA was encapsulated. Methods given IV. in mice.'
-    WHEN 1 THEN 'Abstract ALC-0315, DSPC, chol, ALC-0159 formed LNP. Results mRNA loaded; Results Intramuscular injection in rats.'
+    WHEN 0 THEN 'Abstract MC3 with DSPC, Cholesterol and PEG-lipid; molar ratio 46:9:43.5:1.5 throughout. Packed siRNA. Methods we gave it IV. to mice.'
+    WHEN 1 THEN 'Abstract SM-102 plus DOPC, chol and DMG-PEG. Results saRNA came first; Results one Intramuscular dose per rat.'
     WHEN 2 THEN 'Materials and Methods cationic lipid, DOPE, dope, Chol. weight ratio 2; pDNA in HeLa and hela, HEK293.'
     WHEN 3 THEN 'Introduction PEGylated lipid DMG-PEG, DOTAP mol/mol 1. CRISPR sgRNA RNP subcutaneous NHP.'
     WHEN 4 THEN 'no chemistry here'
@@ -55,13 +54,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are expensive to process, over all cores even if it is small."""
-    return spread_if_small(table(spark, sf_dir, name), f"{sf_dir}/{name}.parquet")
-
-
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CORPUS_SQL, documents=text_table(spark, sf_dir, "documents"))
+    return spark.sql(CORPUS_SQL, documents=table(spark, sf_dir, "documents"))
 
 
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +122,7 @@ def sql_json_list(x: str) -> str:
     return f"'[\"' || array_to_string({x}, '\", \"') || '\"]'"
 
 
+# The word lists, as in functions/vocab.py.
 SQL_LIPIDS = (
     r"(?i)DLin-MC3-DMA|MC3|ALC-0315|SM-102|lipid\s*H|ionizable\s+lipid|cationic\s+lipid|DSPC|DOPE|"
     r"DOPC|DPPC|cholesterol|Chol|PEG-lipid|PEGylated\s+lipid|DMG-PEG|ALC-0159|C12-200|DLinDMA|"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,14 @@ from paperloom.functions.identifiers import clean_doi
 from paperloom.operators.fulltext import resolve_fulltext, with_raw_hash
 from paperloom.plans.catalog import SQL_DOCUMENTS, corpus, corpus_documents, query, table
 from paperloom.session import scratch_path
-from paperloom.sources.files import read_registry
-from paperloom.sources.mappers import COMMON_COLUMNS, SOURCES, discover, map_responses
+from paperloom.sources.files import read_registry, write_registry
+from paperloom.sources.mappers import (
+    COMMON_COLUMNS,
+    SOURCES,
+    discover,
+    map_responses,
+    rejected_responses,
+)
 
 OUT = ", ".join([*COMMON_COLUMNS, "ingest_seq"])
 RANK_STEP = 1 << 56
@@ -52,8 +60,11 @@ RESPONSES = {
         """named_struct('bibjson', named_struct('title', title))"""),
 }
 
+DOCS_PER_RESPONSE = 50
 SQL_BASE = f"""
-SELECT c.*, d.doi, 'http://x/' || c.doc_id AS url, CAST(c.doc_id AS VARCHAR) AS num
+SELECT c.*, d.doi, 'http://x/' || c.doc_id AS url, CAST(c.doc_id AS VARCHAR) AS num,
+  c.doc_id // {DOCS_PER_RESPONSE} AS response_seq,
+  row_number() OVER (PARTITION BY c.doc_id // {DOCS_PER_RESPONSE} ORDER BY c.doc_id) - 1 AS place
 FROM corpus c JOIN ({SQL_DOCUMENTS}) d ON c.doc_id = d.document_id
 """
 KNOWN = "coalesce(nullif(title, ''), 'Unknown')"
@@ -65,7 +76,8 @@ def _item(pos: int, source: str, uid: str, title: str, *rest: str) -> str:
     fields = ", ".join(f"{v} AS {n}" for n, v in zip(names, rest, strict=True))
     return (
         f"SELECT '{source}' AS source_name, {uid} AS external_id, {title} AS title, {fields}, "
-        f"doc_id * 1048576 + {pos} AS ingest_seq FROM base WHERE nullif({uid}, '') IS NOT NULL"
+        f"response_seq * 1048576 + place * {len(RESPONSES[source]) - 2} + {pos} AS ingest_seq "
+        f"FROM base WHERE nullif({uid}, '') IS NOT NULL"
     )
 
 
@@ -133,15 +145,40 @@ MAPPED_SQL = {
 
 
 def landed_responses(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Responses of many items each, and for some a second one that was cut off or is empty."""
     base = corpus(spark, sf_dir).withColumn("doi", clean_doi(F.col("raw_doi")))
     before, after, *items = RESPONSES[source]
-    listed = F.concat_ws(",", *[F.expr(f"to_json({item})") for item in items])
-    return base.select(
-        F.col("doc_id").alias("response_seq"),
-        F.concat(F.lit(before), listed, F.lit(after)).alias("response"),
+    per_document = base.select(
+        "doc_id", F.concat_ws(",", *[F.expr(f"to_json({item})") for item in items]).alias("items")
+    )
+    listed = F.array_join(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("doc_id", "items"))), lambda x: x["items"]
+        ),
+        ",",
+    )
+    whole = per_document.groupBy(
+        F.floor(F.col("doc_id") / DOCS_PER_RESPONSE).alias("response_seq")
+    ).agg(F.concat(F.lit(before), listed, F.lit(after)).alias("response"))
+    # The last columns of each copy: added to its place in the order of arrival, and its text.
+    copies = F.array(
+        F.struct(F.lit(0).alias("later"), F.col("response").alias("text")),
+        F.struct(
+            F.lit(CUT_OFF).alias("later"),
+            F.when(F.col("response_seq") % 3 == 0, F.left("response", F.lit(40)))
+            .when(F.col("response_seq") % 3 == 1, F.lit(" "))
+            .alias("text"),
+        ),
+    )
+    return whole.select("response_seq", F.explode(copies).alias("copy")).select(
+        (F.col("response_seq") + F.col("copy.later")).alias("response_seq"),
+        F.col("copy.text").alias("response"),
     )
 
 
+CUT_OFF = 1 << 30  # added to the place of a response that cannot be read
+
+
 def _register_mapper(key: str, *sources: str) -> None:
     sql = " UNION ALL ".join(MAPPED_SQL[s] for s in sources)
 
@@ -162,6 +199,29 @@ _register_mapper("map_openalex", "OpenAlex")
 _register_mapper("map_s2", "Semantic Scholar")
 _register_mapper("map_doaj", "DOAJ")
 
+@query(
+    "map_rejects",
+    f", base AS ({SQL_BASE}) SELECT source_name, reason, count(*) AS n_responses FROM ("
+    + " UNION ALL ".join(
+        f"SELECT DISTINCT '{name}' AS source_name, response_seq, "
+        "CASE WHEN response_seq % 3 = 0 THEN 'malformed' ELSE 'missing' END AS reason FROM base"
+        for name in RESPONSES
+    )
+    + ") GROUP BY source_name, reason",
+)
+def map_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of each source that cannot be read, by reason."""
+    parts = [
+        rejected_responses(landed_responses(spark, sf_dir, name), SOURCES[name])
+        for name in RESPONSES
+    ]
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("source_name", "reason")
+        .agg(F.count("*").alias("n_responses"))
+    )
+
+
 SQL_ALL_MAPPED = " UNION ALL ".join(
     f"SELECT * REPLACE (ingest_seq + {rank * RANK_STEP} AS ingest_seq) FROM ({MAPPED_SQL[name]})"
     for rank, name in enumerate(RESPONSES)
@@ -185,24 +245,19 @@ def discover_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     "count(*) AS new_entries_from_last_crawl FROM documents GROUP BY source",
 )
 def src_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registry files of one JSON array each, written from the sources of all documents."""
+    """The registry of all sources, written by the writer and read by the reader."""
     per_source = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))
-    rows = per_source.select(
-        F.to_json(
-            F.array(
-                F.struct(
-                    "source",
-                    F.concat(F.lit("http://"), "source").alias("homepage"),
-                    F.concat(F.lit("http://"), "source", F.lit("/api")).alias("api_url"),
-                    (F.col("n") % 2 == 0).alias("supports_discovery"),
-                    F.lit(False).alias("crawled"),
-                    F.col("n").alias("new_entries_from_last_crawl"),
-                )
-            )
-        )
+    registry = per_source.select(
+        "source",
+        F.concat(F.lit("http://"), "source").alias("homepage"),
+        F.concat(F.lit("http://"), "source", F.lit("/api")).alias("api_url"),
+        (F.col("n") % 2 == 0).alias("supports_discovery"),
+        F.lit(False).alias("crawled"),
+        F.lit(None).cast("string").alias("last_crawled_at"),
+        F.col("n").alias("new_entries_from_last_crawl"),
     )
     path = scratch_path(spark, "registry")
-    rows.write.option("maxRecordsPerFile", 1).text(path)
+    write_registry(registry, path)
     return read_registry(spark, path)
 
 

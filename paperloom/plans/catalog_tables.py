@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom import schemas
 from paperloom.functions.exprs import first_present
 from paperloom.functions.extraction import extract_all
 from paperloom.functions.identifiers import clean_doi
@@ -18,7 +19,8 @@ from paperloom.operators.merge import (
     upsert_documents,
     without_output,
 )
-from paperloom.operators.quality import qa_report
+from paperloom.operators.fulltext import parse_documents, with_raw_hash
+from paperloom.operators.quality import field_profile, qa_report
 from paperloom.operators.ranking import assign_ids, first_wins, top_k
 from paperloom.operators.registry import (
     refresh_registry,
@@ -33,19 +35,25 @@ from paperloom.plans.catalog import (
     corpus,
     corpus_documents,
     query,
+    sql_clean,
     table,
 )
-from paperloom.session import checkpointed, scratch_path
+from paperloom.session import scratch_path, written
 from paperloom.sources.files import (
     EXPORT_COLUMNS,
+    append_runs,
     export_view,
     load_records,
     prepare_records,
     read_csv,
     read_jsonl,
+    read_payloads,
     read_records,
+    read_runs,
     write_csv,
     write_jsonl,
+    write_payloads,
+    write_report,
 )
 
 DOCS = f", docs AS ({SQL_DOCUMENTS})"
@@ -284,37 +292,41 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.select("run_id", "status", "discovered_count", "fetched_count", "inserted_count")
 
 
-@query(
-    "qa_report",
-    f"""SELECT n AS total_records, m AS missing_lipid_fields,
+SQL_QA = f"""SELECT n AS total_records, m AS missing_lipid_fields,
   round(100.0 * m / n, 2)::DOUBLE AS missing_lipid_fields_pct, 20.0::DOUBLE AS threshold_pct,
   100.0 * m / n <= 20 AS passed
 FROM (SELECT count(*) AS n, count(*) FILTER (coalesce(lipid_reagents_json, '') = '') AS m
-      FROM ({SQL_NORMALIZED}))""",
-)
+      FROM ({SQL_NORMALIZED}))"""
+
+
+@query("qa_report", SQL_QA)
 def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qa_report(_records(spark, sf_dir))
 
 
-RECORD_COLUMNS = "document_id, lipid_reagents_json, payload, extraction_confidence"
+STORED = """document_id lipid_mix_text lipid_reagents_json lipid_ratios_text lipid_ratios_json
+cells_or_organisms payload administration_route other_relevant_info evidence_span
+extraction_confidence""".split()
 
 
 @query(
     "load_records",
-    "SELECT doc_id AS document_id, lipid_reagents_json, payload, extraction_confidence, "
-    f"'unreviewed' AS reviewer_status, 1 AS batch_id FROM ({SQL_NORMALIZED})",
+    "SELECT doc_id AS document_id, lipid_mix_text, lipid_reagents_json, lipid_ratios_text, "
+    "CAST(NULL AS VARCHAR) AS lipid_ratios_json, cells_or_organisms, payload, administration_route, "
+    "CAST(NULL AS VARCHAR) AS other_relevant_info, evidence_span, extraction_confidence, "
+    f"'unreviewed' AS reviewer_status, 1 AS batch_id, true AS stamped FROM ({SQL_NORMALIZED})",
 )
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch loaded twice; it is stored once."""
     path = scratch_path(spark, "records")
-    records = _records(spark, sf_dir).select(
-        *[c.strip() for c in RECORD_COLUMNS.split(",")]
-    )
-    records = checkpointed(records)
+    stored = [c.split()[0] for c in schemas.RECORDS.split(", ")]
+    made = [c for c in stored if c not in ("reviewer_status", "batch_id", "created_at", "updated_at")]
+    records = written(_records(spark, sf_dir).select(*made), "records-to-load")
     load_records(records, path, 1)
     load_records(records, path, 1)
+    stamped = F.col("created_at").isNotNull() & F.col("updated_at").isNotNull()
     return read_records(spark, path).select(
-        *[c.strip() for c in RECORD_COLUMNS.split(",")], "reviewer_status", "batch_id"
+        *STORED, "reviewer_status", "batch_id", stamped.alias("stamped")
     )
 
 
@@ -358,3 +370,135 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_jsonl(spark, path, ", ".join(f"{c} {t}" for c, t in docs.dtypes))
 
 
+@query(
+    "parse_stage",
+    f"""{DOCS} SELECT d.document_id, d.title, d.doi, concat_ws(' ', nullif({sql_clean('d.abstract_text')}, ''),
+  nullif({sql_clean('c.text')}, '')) AS abstract_or_body
+FROM docs d JOIN corpus c ON c.doc_id = d.document_id WHERE d.pipeline_status = 'FETCHED'""",
+)
+def parse_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FETCHED documents joined to stored payloads with an abstract and a full text."""
+    stored = read_payloads(spark, _stored_payloads(spark, sf_dir))
+    parsed = parse_documents(corpus_documents(spark, sf_dir), stored)
+    return parsed.select("document_id", "title", "doi", "abstract_or_body")
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = corpus(spark, sf_dir).select(F.col("doc_id").alias("document_id"), "text")
+    docs = corpus_documents(spark, sf_dir).join(texts, "document_id")
+    return docs.select(
+        "document_id",
+        "doi",
+        "pmcid",
+        F.col("abstract_text").alias("abstract"),
+        F.col("text").alias("fulltext"),
+        F.lit("pmc_xml").alias("content_type"),
+    )
+
+
+def _stored_payloads(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "payloads")
+    write_payloads(with_raw_hash(_payloads(spark, sf_dir)), path)
+    return path
+
+
+SQL_JSON = "coalesce(CAST(to_json({0}) AS VARCHAR), 'null')"
+
+
+@query(
+    "payload_store",
+    f"""{DOCS} SELECT document_id, true AS has_path, sha256('{{"document_id": ' || document_id || ', "doi": ' ||
+  {SQL_JSON.format('d.doi')} || ', "pmcid": ' || {SQL_JSON.format('d.pmcid')} || ', "abstract": ' ||
+  {SQL_JSON.format('d.abstract_text')} || ', "fulltext": ' || {SQL_JSON.format('c.text')} ||
+  ', "content_type": "pmc_xml"}}') AS raw_hash
+FROM docs d JOIN corpus c ON c.doc_id = d.document_id""",
+)
+def payload_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full payloads stored; their place and hash become part of the document table."""
+    path = scratch_path(spark, "payloads")
+    changes = write_payloads(with_raw_hash(_payloads(spark, sf_dir)), path)
+    docs = corpus_documents(spark, sf_dir).withColumns(
+        {"full_text_path": F.lit(None).cast("string"), "raw_hash": F.lit(None).cast("string")}
+    )
+    return apply_changes(docs, changes).select(
+        "document_id", F.col("full_text_path").isNotNull().alias("has_path"), "raw_hash"
+    )
+
+
+@query("export_json", SQL_EXPORT)
+def export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export written as JSON lines and read back."""
+    path = scratch_path(spark, "export")
+    exported = _export(spark, sf_dir)
+    write_jsonl(exported, path)
+    return read_jsonl(spark, path, ", ".join(f"{c} {t}" for c, t in exported.dtypes))
+
+
+@query("qa_file", SQL_QA)
+def qa_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report as a file."""
+    path = scratch_path(spark, "qa")
+    report = qa_report(_records(spark, sf_dir))
+    write_report(report, path)
+    return read_jsonl(spark, path, ", ".join(f"{c} {t}" for c, t in report.dtypes))
+
+
+@query("optional_input", f"{DOCS} SELECT document_id, title FROM docs")
+def optional_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with those of a second input that is not there."""
+    docs = corpus_documents(spark, sf_dir).select("document_id", "title")
+    schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes)
+    missing = read_jsonl(spark, scratch_path(spark, "missing"), schema, optional=True)
+    return docs.unionByName(missing)
+
+
+@query(
+    "run_log_append",
+    f"""{DOCS}, one AS (SELECT count(*) AS n, count(*) FILTER (pipeline_status NOT IN ('DISCOVERED', 'FAILED')) AS f,
+  count(*) FILTER (pipeline_status = 'LOADED') AS l FROM docs)
+SELECT 1 AS run_id, 'DONE' AS status, n AS discovered_count, f AS fetched_count, l AS inserted_count,
+  CAST(NULL AS VARCHAR) AS error_message FROM one
+UNION ALL SELECT 2, 'FAILED', n, f, 0, 'no space' FROM one""",
+)
+def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs added to the log one after the other."""
+    docs = corpus_documents(spark, sf_dir)
+    path = scratch_path(spark, "runs")
+    now = F.current_timestamp()
+    append_runs(run_log_row(docs, with_status(docs, "LOADED"), 1, now), path)
+    append_runs(run_log_row(docs, docs.where("false"), 2, now, "FAILED", "no space"), path)
+    return read_runs(spark, path).select(
+        "run_id", "status", "discovered_count", "fetched_count", "inserted_count", "error_message"
+    )
+
+
+PROFILED = ["lipid_reagents_json", "payload", "administration_route", "cells_or_organisms"]
+
+
+@query(
+    "field_profile",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS field, count(*) AS total_records, "
+        f"count(*) FILTER (coalesce({c}, '') = '') AS n_missing, "
+        f"round(100.0 * count(*) FILTER (coalesce({c}, '') = '') / count(*), 2)::DOUBLE AS missing_pct "
+        f"FROM ({SQL_NORMALIZED})"
+        for c in PROFILED
+    ),
+)
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return field_profile(_records(spark, sf_dir), PROFILED)
+
+
+@query("single_source", "SELECT doc_id FROM corpus WHERE source_name = 'src3'")
+def single_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = allowed_sources(corpus(spark, sf_dir), ALLOWED, only="src3", column="source_name")
+    return found.select("doc_id")
+
+
+@query(
+    "status_limit",
+    f"{DOCS} SELECT document_id FROM docs WHERE pipeline_status = 'FETCHED' ORDER BY document_id LIMIT 30",
+)
+def status_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first documents of a state; the limit is what a stage is asked for."""
+    return with_status(corpus_documents(spark, sf_dir), "FETCHED", limit=30).select("document_id")

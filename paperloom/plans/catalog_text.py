@@ -29,9 +29,10 @@ from paperloom.plans.catalog import (
     sql_clean,
     sql_first,
     sql_strip,
-    text_table,
+    table,
 )
 
+# Fixed value: the section headings.
 HEADINGS = "(?i)abstract|introduction|methods?|materials and methods|results|discussion|conclusion"
 
 SQL_HTML_TEXT = (
@@ -46,12 +47,12 @@ for _name, _char in (("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", "\xa0"), (
 
 @query("clean_text", f"SELECT page_id, {sql_clean('html')} AS cleaned FROM pages")
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_table(spark, sf_dir, "pages").select("page_id", clean(F.col("html")).alias("cleaned"))
+    return table(spark, sf_dir, "pages").select("page_id", clean(F.col("html")).alias("cleaned"))
 
 
 @query("parse_html", f"SELECT page_id, {sql_clean(SQL_HTML_TEXT)} AS abstract_or_body FROM pages")
 def parse_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages").select(
         "page_id", plain_text(F.col("html")).alias("abstract_or_body")
     )
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from paperloom.functions.extraction import extract_all
 from paperloom.functions.normalization import normalize_records
 from paperloom.functions.vocab import DEFAULT_VOCABULARY, Vocabulary
-from paperloom.operators.dedup import deduplicate
+from paperloom.operators.dedup import deduplicate, kept_records
 from paperloom.operators.filters import confident
 from paperloom.operators.fulltext import parse_documents
+from paperloom.session import written
 
 
 def extract_records(
@@ -31,9 +32,21 @@ def documents_to_records(
     vocab: Vocabulary = DEFAULT_VOCABULARY,
     min_confidence: float | None = None,
 ) -> DataFrame:
-    """Records of all FETCHED documents without duplicates, in order of document id."""
-    records = extract_records(parse_documents(docs, payloads), vocab, min_confidence)
-    return deduplicate(records, "document_id")
+    """Records of all FETCHED documents without duplicates, in no particular order.
+
+    A threshold on confidence comes first, so weak records block nobody; then records are
+    written once and deduplicated. Without one, duplicates are found on ids, DOIs and titles
+    alone, before any text is extracted.
+    """
+    if min_confidence is not None:
+        confident_ones = extract_records(parse_documents(docs, payloads), vocab, min_confidence)
+        return deduplicate(written(confident_ones, "records"), "document_id")
+    fetched = docs.where(F.col("pipeline_status") == "FETCHED").join(
+        payloads.select("document_id"), "document_id", "left_semi"
+    )
+    kept = kept_records(fetched.select("document_id", "doi", "title"), "document_id")
+    chosen = docs.join(kept.withColumnRenamed("seq", "document_id"), "document_id", "left_semi")
+    return extract_records(parse_documents(chosen, payloads), vocab, min_confidence)
 
 
 def status_changes(docs: DataFrame, status: str) -> DataFrame:

@@ -12,7 +12,7 @@ DOCUMENTS = (
     "document_id BIGINT, source_name STRING, external_id STRING, doi STRING, pmid STRING, "
     "pmcid STRING, journal_or_site STRING, publication_date STRING, source_url STRING, "
     "abstract_text STRING, full_text_path STRING, raw_hash STRING, title STRING, "
-    "pipeline_status STRING"
+    "pipeline_status STRING, value_seq MAP<STRING, BIGINT>"
 )
 RECORDS = (
     "document_id BIGINT, lipid_mix_text STRING, lipid_reagents ARRAY<STRING>, "
@@ -25,6 +25,7 @@ PAYLOADS = (
     "document_id BIGINT, doi STRING, pmcid STRING, abstract STRING, fulltext STRING, "
     "content_type STRING"
 )
+STORED_PAYLOADS = f"{PAYLOADS}, raw_hash STRING"
 DISCOVERED = (
     "source_name STRING, external_id STRING, title STRING, doi STRING, pmid STRING, "
     "pmcid STRING, journal_or_site STRING, publication_date STRING, source_url STRING, "

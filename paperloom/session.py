@@ -36,28 +36,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` reliably, so later stages survive lost executors."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read back with its own schema.
 
+    Later stages start from the files, so lost executors cost at most the stage that runs.
+    Size estimates are those of the files; a checkpoint would keep the estimates of the plan
+    it came from, which multiply with every join of a loop.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def spread_if_small(df: DataFrame, path: str) -> DataFrame:
-    """Deal the rows of a table over all cores if its files make fewer splits than that.
 
-    A small table is often one row group and so one task. A large one has more splits than
-    there are cores and is left alone.
-    """
+def forget(df: DataFrame) -> None:
+    """Delete a table made by ``written`` that no later plan reads."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = (
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
-    )
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    return df.repartition(cores) if size < cores * split else df
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom import schemas
 
+# The columns of an export, in order.
 EXPORT_COLUMNS = [
     "document_id",
     "title",
@@ -41,12 +42,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Source registry: a JSON array in one file."""
-    return spark.read.schema(schemas.REGISTRY).option("multiLine", True).json(path)
+    """Source registry: files of one JSON array each, or of one JSON object a line."""
+    rows = F.from_json("value", f"array<struct<{schemas.REGISTRY}>>")
+    text = spark.read.text(path, wholetext=True)
+    # An array is one piece of text; lines of objects become an array first.
+    is_array = F.col("value").rlike(r"^\s*\[")
+    objects = F.filter(F.split("value", "\\r?\\n"), lambda line: F.trim(line) != "")
+    listed = F.when(is_array, F.col("value")).otherwise(
+        F.concat(F.lit("["), F.array_join(objects, ","), F.lit("]"))
+    )
+    return text.select(listed.alias("value")).select(F.inline(rows))
 
 
 def write_registry(registry: DataFrame, path: str) -> None:
-    """Registry as JSON lines in a new folder; ``read_jsonl`` reads it back."""
+    """Registry as JSON lines in a new folder; ``read_registry`` reads it back."""
     registry.write.mode("error").json(path)
 
 
@@ -77,6 +86,34 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
+def append_runs(runs: DataFrame, path: str) -> None:
+    """Add rows to the run log."""
+    runs.write.mode("append").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run log; a log that nothing was added to yet has no rows."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schemas.CRAWL_RUNS)
+    return spark.read.schema(schemas.CRAWL_RUNS).parquet(path)
+
+
+def write_payloads(payloads: DataFrame, path: str) -> DataFrame:
+    """Store raw payloads; returns the documents' place and hash (document_id, full_text_path,
+    raw_hash) as a change set for the document table."""
+    payloads.select(*[F.col(c) for c in PAYLOAD_COLUMNS]).write.mode("error").parquet(path)
+    return read_payloads(payloads.sparkSession, path).select(
+        "document_id", F.lit(path).alias("full_text_path"), "raw_hash"
+    )
+
+
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.STORED_PAYLOADS).parquet(path)
+
+
+PAYLOAD_COLUMNS = [c.split()[0] for c in schemas.STORED_PAYLOADS.split(", ")]
+
+
 def prepare_records(records: DataFrame, batch_id: int, now: Column | None = None) -> DataFrame:
     """Record rows as they are stored: defaults, review state, batch and time stamps."""
     stamp = now if now is not None else F.current_timestamp()
@@ -103,8 +140,12 @@ def read_records(spark: SparkSession, table: str) -> DataFrame:
 
 
 def export_view(records: DataFrame, docs: DataFrame) -> DataFrame:
-    """Records with their document's bibliographic data, in order of document id."""
-    return records.join(docs, "document_id").select(*EXPORT_COLUMNS).orderBy("document_id")
+    """Records with their document's bibliographic data, in order of document id.
+
+    Several records of one document follow in the order of their other columns.
+    """
+    rest = [c for c in EXPORT_COLUMNS if c != "document_id"]
+    return records.join(docs, "document_id").select(*EXPORT_COLUMNS).orderBy("document_id", *rest)
 
 
 class SnapshotTable:

@@ -34,8 +34,8 @@ COMMON_COLUMNS = [
 ]
 # ingest_seq: source rank, response_seq and position in the response, 7 + 36 + 20 bits.
 POSITION_BITS = 20
+CORRUPT = "_corrupt"
 RESPONSE_BITS = 36
-MAX_ITEMS_PER_QUERY = 25
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,12 @@ class Source:
     schema: str
     items: str
     fields: Callable[[Column], Fields]
-    max_items: int | None = MAX_ITEMS_PER_QUERY
+    max_items: int | None = None
+
+    @property
+    def landed_schema(self) -> str:
+        """The response schema with room for the text of a response that does not parse."""
+        return f"{self.schema.rstrip()[:-1]}, {CORRUPT}: STRING>"
 
 
 def _title_or_unknown(title: Column) -> Column:
@@ -182,7 +187,7 @@ def doaj_fields(item: Column) -> Fields:
 SOURCES: dict[str, Source] = {
     s.name: s
     for s in (
-        Source("PubMed", schemas.PUBMED_RESPONSE, "result", pubmed_fields, None),
+        Source("PubMed", schemas.PUBMED_RESPONSE, "result", pubmed_fields),
         Source("Europe PMC", schemas.EUROPEPMC_RESPONSE, "resultList.result", europepmc_fields),
         Source(
             "bioRxiv",
@@ -224,13 +229,16 @@ def map_responses(
 ) -> DataFrame:
     """Documents of landed responses (response_seq, response), one row per item with an id.
 
-    ``response`` is JSON text or already a struct of the source's schema. Of each response
-    at most ``max_results`` items are used, and never more than the source allows. The
-    mapping needs no shuffle and works on streams too.
+    ``response`` is JSON text or already a struct of the source's schema. All items of a
+    response are used, unless ``max_results`` or the source sets a limit. What does not
+    parse has no rows here and is what ``rejected_responses`` gives. The mapping needs no
+    shuffle and works on streams too.
     """
-    caps = [c for c in (max_results, source.max_items) if c]
+    caps = [c for c in (max_results, source.max_items) if c is not None]
     if dict(landed.dtypes)["response"] == "string":
-        landed = landed.withColumn("response", F.from_json("response", source.schema))
+        landed = _parsed(landed, source).withColumn(
+            "response", F.when(F.col(f"response.{CORRUPT}").isNull(), F.col("response"))
+        )
     # The plain form of the generator would add a filter on the size of the list, which is
     # pushed below the projection that parses the response and parses it a second time.
     items = landed.select(
@@ -247,6 +255,29 @@ def map_responses(
     )
 
 
+def _parsed(landed: DataFrame, source: Source) -> DataFrame:
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    return landed.withColumn("response", F.from_json("response", source.landed_schema, options))
+
+
+def rejected_responses(landed: DataFrame, source: Source) -> DataFrame:
+    """Landed responses that give no documents because they cannot be read.
+
+    Rows (source_name, response_seq, reason, response): ``missing`` for null or blank text,
+    ``malformed`` for text that is no JSON object of the source's schema.
+    """
+    parsed = _parsed(landed.withColumn("_text", F.col("response")), source)
+    blank = F.col("_text").isNull() | (F.trim("_text") == "")
+    malformed = F.col("response").isNull() | F.col(f"response.{CORRUPT}").isNotNull()
+    reason = F.when(blank, "missing").when(malformed, "malformed")
+    return parsed.where(blank | malformed).select(
+        F.lit(source.name).alias("source_name"),
+        "response_seq",
+        reason.alias("reason"),
+        F.col("_text").alias("response"),
+    )
+
+
 def discover(
     landed: dict[str, DataFrame],
     max_results: int | None = None,

@@ -7,7 +7,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paperloom import schemas
 from paperloom.operators.merge import upsert_documents
-from paperloom.operators.ranking import first_wins
 from paperloom.sources.files import SnapshotTable
 from paperloom.sources.mappers import Source, map_responses
 
@@ -46,6 +45,9 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge each micro-batch into the snapshot table.
 
+    Values are folded by ``order``, which the snapshot remembers per value, so files may be
+    cut into batches in any way and may arrive late; only the ids follow the arrival.
+
     Batch n writes version n + 1 from version n. A batch that is run again after a failure
     finds its version complete and does nothing, or rewrites it from the same input. A table
     therefore belongs to one checkpoint folder.
@@ -56,8 +58,7 @@ def upsert_stream(
         if table.has(version):
             return
         current = table.read(batch_id) if table.has(batch_id) else table.read()
-        first = first_wins(batch, ["source_name", "external_id"], order)
-        merged = upsert_documents(current, first, order=order)
+        merged = upsert_documents(current, batch, order=order)
         table.write(merged.select(*current.columns), version)
 
     return (

@@ -13,7 +13,7 @@ from paperloom.operators.registry import (
     with_grand_total,
 )
 from paperloom.plans.etl import documents_to_records, status_changes
-from paperloom.session import scratch_path, shared_dir, spread_if_small
+from paperloom.session import scratch_path, shared_dir
 from paperloom.sources import files
 
 
@@ -140,15 +140,3 @@ def test_documents_to_export(spark, tmp_path):
 def test_intermediate_data_goes_to_the_configured_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
-
-
-def test_only_small_tables_are_dealt_out(spark, tmp_path):
-    path = str(tmp_path / "p")
-    spark.range(10).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert "RoundRobin" in spread_if_small(df, path)._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "10")
-    try:
-        assert spread_if_small(df, path) is df
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -155,3 +155,14 @@ def test_spread_join_equals_a_left_join(spark, counts_given):
     assert sorted(map(repr, got.select("n", "k", "v").collect())) == sorted(
         map(repr, expected.select("n", "k", "v").collect())
     )
+
+
+def test_several_changes_of_one_row_count_in_order(spark):
+    from paperloom.operators.merge import apply_changes
+
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "document_id int, s string, h string")
+    changes = spark.createDataFrame(
+        [(1, "new", None, 2), (1, "older", "z", 1), (9, "none", "q", 1)], "document_id int, s string, h string, n int"
+    )
+    got = apply_changes(rows, changes, order="n").orderBy("document_id").collect()
+    assert [tuple(r) for r in got] == [(1, "new", "z"), (2, "b", "y")]

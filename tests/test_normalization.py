@@ -79,3 +79,16 @@ def test_search_queries(spark):
         "LNP mRNA+delivery", "LNP siRNA",
     ]
     assert row["all"][6] == "x%2By mRNA+delivery"
+
+
+def test_only_whole_json_arrays_are_rewritten(value):
+    from paperloom.functions.normalization import normalize_lipids_json
+
+    cases = {
+        '["chol"] junk': '["chol"] junk',
+        '["chol"': '["chol"',
+        ' [ "chol" , "DSPC" ] ': '["cholesterol", "DSPC"]',
+        '["Å chol", "a\\u00E9\\\\u00E9"]': '["\\u00c5 chol", "a\\u00e9\\\\u00E9"]',
+        "[]": "[]",
+    }
+    assert value(normalize_lipids_json, list(cases)) == list(cases.values())

@@ -5,7 +5,13 @@ import pytest
 from paperloom import schemas
 from paperloom.operators.filters import allowed_sources, with_status
 from paperloom.operators.fulltext import parse_documents, payload_text, resolve_fulltext, with_raw_hash
-from paperloom.sources.mappers import SOURCES, Source, discover, map_responses
+from paperloom.sources.mappers import (
+    SOURCES,
+    Source,
+    discover,
+    map_responses,
+    rejected_responses,
+)
 
 
 def mapped(spark, source, *responses, **options):
@@ -113,12 +119,24 @@ def test_pubmed(spark):
     assert rows[0]["source_url"] == "https://pubmed.ncbi.nlm.nih.gov/1/"
 
 
-def test_items_per_query_are_capped_except_for_pubmed(spark):
-    many = [{"doi": f"d{n}", "title": "t", "pmid": str(n)} for n in range(30)]
-    assert len(mapped(spark, "bioRxiv", {"collection": many})) == 25
+def test_all_items_of_a_response_are_used_unless_a_limit_is_given(spark):
+    many = [{"doi": f"d{n}", "title": "t", "pmid": str(n)} for n in range(60)]
+    assert len(mapped(spark, "bioRxiv", {"collection": many})) == 60
     assert len(mapped(spark, "bioRxiv", {"collection": many}, max_results=7)) == 7
-    assert len(mapped(spark, "PubMed", {"result": many})) == 30
-    assert len(mapped(spark, "PubMed", {"result": many}, max_results=28)) == 28
+    assert len(mapped(spark, "PubMed", {"result": many})) == 60
+    assert len(mapped(spark, "PubMed", {"result": many}, max_results=0)) == 0
+
+
+def test_unreadable_responses_are_reported(spark):
+    good = json.dumps({"collection": [{"doi": "d", "title": "t"}]})
+    texts = [good, good[:-3], "", None, "[1]", "{}", '{"collection": []}', "no json"]
+    landed = spark.createDataFrame(list(enumerate(texts)), "response_seq bigint, response string")
+    got = rejected_responses(landed, SOURCES["bioRxiv"]).orderBy("response_seq").collect()
+    assert [(r["response_seq"], r["reason"], r["response"]) for r in got] == [
+        (1, "malformed", good[:-3]), (2, "missing", ""), (3, "missing", None),
+        (4, "malformed", "[1]"), (7, "malformed", "no json"),
+    ]
+    assert [r["external_id"] for r in map_responses(landed, SOURCES["bioRxiv"]).collect()] == ["d"]
 
 
 def test_discovery_keeps_the_first_of_each_id_in_order_of_sources(spark):

@@ -24,8 +24,8 @@ def test_upsert_stream_resumes_and_repeats_nothing(spark, tmp_path):
         upsert_stream(docs, table, checkpoint).awaitTermination()
         return {r["document_id"]: (r["external_id"], r["title"], r["abstract_text"]) for r in table.read().collect()}
 
-    land(landing, "1.json", 1, {"doi": "a", "title": "A", "abstract": "old"}, {"doi": "a", "title": "skipped"})
-    assert run() == {1: ("a", "A", "old")}
+    land(landing, "1.json", 1, {"doi": "a", "title": "A", "abstract": "old"}, {"doi": "a", "title": "A1"})
+    assert run() == {1: ("a", "A1", "old")}
     land(landing, "2.json", 2, {"doi": "b", "title": "B"}, {"doi": "a", "title": "A2"})
     expected = {1: ("a", "A2", "old"), 2: ("b", "B", None)}
     assert run() == expected
@@ -54,3 +54,31 @@ def test_first_seen_across_batches(spark, tmp_path):
     assert run() == [("a", "A")]
     land(landing, "2.json", 2, {"doi": "a", "title": "again"}, {"doi": "b", "title": "B"})
     assert run() == [("a", "A"), ("b", "B")]
+
+
+def test_result_does_not_depend_on_batches_or_arrival(spark, tmp_path):
+    """Files of one key in any order and batch size leave the values of the latest response."""
+    files = {
+        1: [{"doi": "a", "title": "t1", "abstract": "first"}, {"doi": "a", "title": "t2"}],
+        2: [{"doi": "b", "title": "", "abstract": "B"}, {"doi": "a", "title": "t3", "date": "2020"}],
+        3: [{"doi": "b", "title": "late", "date": "2021"}],
+        4: [{"doi": "a", "title": "t4"}],
+    }
+
+    def run(name, order, files_per_batch, at_once):
+        landing = tmp_path / name
+        landing.mkdir()
+        table = SnapshotTable(spark, str(tmp_path / f"{name}-docs"), schemas.DOCUMENTS)
+        for n in order:
+            land(landing, f"{n}.json", n, *files[n])
+            if not at_once or n == order[-1]:
+                landed = landed_stream(spark, str(landing), files_per_batch=files_per_batch)
+                docs = document_stream(landed, SOURCES["bioRxiv"])
+                upsert_stream(docs, table, str(tmp_path / f"{name}-check")).awaitTermination()
+        columns = ["external_id", "title", "abstract_text", "publication_date", "doi"]
+        return sorted(tuple(r[c] for c in columns) for r in table.read().collect())
+
+    expected = [("a", "t4", "first", "2020", "a"), ("b", "late", "B", "2021", "b")]
+    assert run("one", [1, 2, 3, 4], None, True) == expected
+    assert run("many", [1, 2, 3, 4], 1, True) == expected
+    assert run("late", [4, 2, 3, 1], None, False) == expected

@@ -76,3 +76,18 @@ def test_parse_payload_with_html(spark):
     row = parse_payloads(df).first()
     assert row["abstract_or_body"] == "Abstract of it Methods DSPC with cholesterol."
     assert row["sections"] == {"abstract": "of it", "methods": "DSPC with cholesterol."}
+
+
+def test_comments_and_raw_text_hide_each_other_in_order(value):
+    from paperloom.functions.html import plain_text
+
+    cases = {
+        "<p>a</p><!-- <script> old --> visible <script>x()</script> end": "a visible end",
+        "<script>var a = '<!--';</script> b <style>c</style>": "b",
+        "<p>a</p><script>never closed <p>b": "a",
+        "<p>a<!-- never closed <p>b": "a",
+        "<p>&copy 2024 a&nbsp b &amp z &ampx &unknown;</p>": "© 2024 a b & z &x &unknown;",
+        "<p>&#0000000000000000000065; &#x00000000000000041; &#99999999999999999999; &#xD800;</p>":
+            "A A &#99999999999999999999; &#xD800;",
+    }
+    assert value(plain_text, list(cases)) == list(cases.values())
