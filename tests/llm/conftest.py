@@ -1,9 +1,18 @@
+import os
 import random
+import sys
 
 import public_tokenizers
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import corpus_pipeline  # noqa: E402
+
+cloudpickle.register_pickle_by_value(corpus_pipeline)
+
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
