@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import bpe, jaccard_join, langid, line_dedup, mixing
 from paperloom.llm.queries import held_out_column
-from paperloom.llm.shared import SPACE, written
+from paperloom.llm.shared import SPACE
+from paperloom.session import written
 
 MIN_SCORE = 0.5  # least posterior of a document's language
 REPEATED_IN = 10  # documents a line occurs in before it counts as repeated

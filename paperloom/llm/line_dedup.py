@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.exprs import let
-from paperloom.llm.shared import ascii_lower, written
+from paperloom.llm.shared import ascii_lower
+from paperloom.session import written
 
 BLANKS = " \t\n\x0b\f\r"
 

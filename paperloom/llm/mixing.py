@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.shared import buckets_for, word_count, written
+from paperloom.llm.shared import buckets_for, word_count
+from paperloom.session import written
 
 DOCS_PER_RANGE = 5_000  # documents that one window sorts, on average
 

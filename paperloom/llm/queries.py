@@ -153,7 +153,26 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
-@query("op7_near_vectors")
+@query(
+    "op7_near_vectors",
+    """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, coalesce(any_value(d.n), 0) AS n_links, min(r.other) AS component_id,
+  min(r.other) = r.vec_id AS kept
+FROM reach r LEFT JOIN degree d ON d.vec_id = r.vec_id GROUP BY r.vec_id
+""",
+)
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.link_vectors(table(spark, sf_dir, "embeddings"), min_cosine=0.98)
 

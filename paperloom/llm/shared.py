@@ -5,32 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.session import scratch_path
+from paperloom.session import forget, written
 
 #: White space that separates words, as a Java character class body.
 SPACE = r"\x20\x09-\x0D"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back with its own schema.
-
-    Later stages start from the files, so lost executors cost at most the stage that runs,
-    and size estimates are those of the files.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Delete a table made by ``written`` that no later plan reads."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def ascii_lower(text: Column) -> Column:
     """A to Z in lower case, every other character as it is."""
     pure = F.octet_length(text) == F.char_length(text)
