@@ -6,8 +6,10 @@ points is the article; its siblings join if they score well too. What stays are
 these elements in page order.
 
 Parts that are never article are left out while the page is read: navigation, headers,
-footers, asides, forms, scripts and styles by their tags or roles, and adverts, notices,
-menus, sharing and reader comments by whole words of their class or id.
+footers, asides, forms, scripts and styles by their tags or roles. Elements whose class or id
+has a whole word for adverts, notices, menus, sharing or reader comments are only suspects,
+since such words are also in names of wrappers and in ids made from headings. They are read,
+and left out before the scores if the rest of the page is enough without them (``suspects``).
 """
 
 from __future__ import annotations
@@ -50,6 +52,8 @@ WORDS = frozenset(
     "share sharing social related recommended recommendations outbrain taboola skip hidden "
     "toc form login search".split()
 )
+# Elements that a word makes suspect: no headings, no paragraphs, nothing inside a line.
+SUSPECT = BLOCK - HEADINGS - {"html", "body", "main", "p"}
 LISTS = frozenset("ul ol dl table".split())
 BARRIERS = BLOCK - {"p"}
 # Elements that end an open one of their kind, up to the element that holds them.
@@ -68,6 +72,8 @@ PARAGRAPH = 25  # shorter blocks pass no points
 BONUS = {"article": 25.0, "main": 15.0}
 SIBLING = 0.2  # share of the best score that lets a sibling join
 MENU_LINKS = 0.7  # share of link text that makes a list a menu
+REST = 0.1  # share of the points outside of suspects below which these are the page
+MOST_TEXT = 0.25  # share of the text without links that goes with most of the points
 
 
 class Page(HTMLParser):
@@ -80,6 +86,10 @@ class Page(HTMLParser):
         self.stack = [0]
         self.out_at: list[int] = []  # stack depths of open parts that are left out
         self.header_at: list[int] = []  # stack depths of open headers inside an article
+        self.suspects: dict[int, str] = {}  # elements with a word, in page order
+        self.slugs: dict[int, set[str]] = {}  # words of their id, where only that has a word
+        self.plain: list[int] = []  # articles without a word
+        self.named: list[int] = []  # outermost articles with one
         self.links = 0
         self.articles = 0
         self.headings = 0
@@ -126,15 +136,27 @@ class Page(HTMLParser):
             self.links += 1
         if self.out_at:
             return
-        words = left_out(tag, attrs)
-        if self.articles and (tag == "header" or words == "header"):
+        if self.articles and tag == "header":
             self.header_at.append(depth)  # of an article: only its headings stay
-        elif words:
+            return
+        if left_out(tag, attrs):
             self.out_at.append(depth)
-        elif tag in ("article", "main"):
+            return
+        node = self.stack[-1]
+        word = suspect_word(tag, attrs)
+        if tag in ("article", "main"):
+            if not word:
+                self.plain.append(node)
+            elif not self.articles:
+                self.named.append(node)
+                word = ""  # an article inside another one may be a comment
             self.articles += 1
         elif tag in HEADINGS:
             self.headings += 1
+        if word:
+            # Of a header of an article the headings stay in any case.
+            self.suspects[node] = "header" if self.articles and word == "header" else "part"
+            self.slugs[node] = slug(attrs)
 
     def pop(self) -> None:
         depth = len(self.stack)
@@ -188,30 +210,47 @@ class Page(HTMLParser):
             self.link_chars += len(data.strip())
 
 
-def left_out(tag: str, attrs: list) -> str:
-    """Why an element is no article text: a word, or empty if it may be."""
-    if tag in LEFT_OUT:
-        return tag
-    if tag == "header":
-        return "header"
+def left_out(tag: str, attrs: list) -> bool:
+    """Whether an element is never article text."""
+    if tag in LEFT_OUT or tag == "header":
+        return True
     for name, value in attrs:
         if name == "hidden":
-            return name
+            return True
         if not value:
             continue
-        if name in ("class", "id") and tag not in ("html", "body", "main"):
-            found = WORDS.intersection(re.split("[^a-z]+", value.lower()))
+        if name == "role" and value.strip().lower() in ROLES:
+            return True
+        if name == "aria-hidden" and value.strip().lower() == "true":
+            return True
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            return True
+    return False
+
+
+def words_of(text: str) -> list[str]:
+    return [w for w in re.split("[^a-z]+", text.lower()) if w]
+
+
+def suspect_word(tag: str, attrs: list) -> str:
+    """A word of the class or id that makes an element suspect, or empty."""
+    if tag not in SUSPECT:
+        return ""
+    for name, value in attrs:
+        if value and name in ("class", "id"):
+            found = WORDS.intersection(words_of(value))
             if found:
                 return "header" if found == {"header"} else min(found)
-        elif name == "role" and value.strip().lower() in ROLES:
-            return value
-        elif name == "aria-hidden" and value.strip().lower() == "true":
-            return name
-        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return name
     return ""
 
 
+def slug(attrs: list) -> set[str]:
+    """Words of an id that may be made from a heading: more than words for parts of a page."""
+    given = {name: set(words_of(value or "")) for name, value in attrs if name in ("class", "id")}
+    found = given.get("id", set())
+    return set() if WORDS & given.get("class", set()) or found <= WORDS else found
+
+
 def main_text(html: str | None) -> str:
     """Article text of a page: blocks joined by an empty line; empty for null or no text."""
     if not html:
@@ -223,16 +262,98 @@ def main_text(html: str | None) -> str:
     return "\n\n".join(select(page))
 
 
+def gained_points(text: str, linked: float) -> float:
+    """Points that a block passes to the elements around it."""
+    if len(text) < PARAGRAPH:
+        return 0.0
+    return (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - linked)
+
+
+def suspects(page: Page) -> set[int]:
+    """Suspects that are no article: what they hold is left out.
+
+    A suspect stays if it holds an article, most of the page's points, or a heading that its
+    id is made from. If next to nothing has points outside of suspects, all of them stay. The
+    same holds for suspects inside those that stay, against what is not left out by then.
+    """
+    tags, parents = page.tags, page.parents
+    points = [0.0] * len(tags)
+    plain_chars = [0.0] * len(tags)
+    chars = [0] * len(tags)
+    for node, text, linked in page.blocks:
+        points[node] += gained_points(text, linked)
+        plain_chars[node] += (1 - linked) * len(text)
+        chars[node] += len(text)
+    holds = [False] * len(tags)
+    for node in page.plain or page.named:
+        holds[node] = True
+    for node in range(len(tags) - 1, 0, -1):  # children come after their parents
+        points[parents[node]] += points[node]
+        plain_chars[parents[node]] += plain_chars[node]
+        chars[parents[node]] += chars[node]
+        holds[parents[node]] |= holds[node]
+    around = [0] * len(tags)  # innermost suspect around or at an element
+    for node in range(1, len(tags)):
+        around[node] = node if node in page.suspects else around[parents[node]]
+    stays, seen = set(), set()
+    for node, text, _ in page.blocks:
+        at = around[node]
+        if at and at not in seen and tags[node] in HEADINGS:
+            seen.add(at)
+            linked = plain_chars[at] < (1 - MENU_LINKS) * chars[at]
+            if page.slugs[at] and page.slugs[at] <= set(words_of(text)) and not linked:
+                stays.add(at)
+    inner: dict[int, list[int]] = {}
+    for node in page.suspects:
+        inner.setdefault(around[parents[node]], []).append(node)
+    out = set()
+    measure = points if points[0] > 0 else chars
+    total, all_chars = measure[0], plain_chars[0]
+    scopes = [0]
+    while scopes:
+        found = inner.get(scopes.pop(), [])
+        kept = [n for n in found if holds[n] or n in stays]
+        doubtful = [n for n in found if not (holds[n] or n in stays)]
+        rest = total - sum(measure[n] for n in doubtful)
+        rest_chars = all_chars - sum(plain_chars[n] for n in doubtful)
+        if rest >= REST * total or rest_chars > (1 - MOST_TEXT) * all_chars:
+            most = [
+                n for n in doubtful
+                if 2 * measure[n] > total and plain_chars[n] >= MOST_TEXT * all_chars
+            ]
+        else:
+            # Of the suspects that are all there is, those stay that one with most does not outdo.
+            most = [n for n in doubtful if 2 * measure[n] > total] or doubtful
+        left = set(doubtful).difference(most)
+        out |= left
+        total -= sum(measure[n] for n in left)
+        all_chars -= sum(plain_chars[n] for n in left)
+        scopes += kept + most
+    return out
+
+
+def without_suspects(page: Page) -> list[tuple[int, str, float]]:
+    """Blocks of a page that are in no suspect that is left out."""
+    if not page.suspects:
+        return page.blocks
+    left = suspects(page)
+    state = [""] * len(page.tags)  # why the text of an element is left out
+    for node in range(1, len(state)):
+        above = state[page.parents[node]]
+        state[node] = page.suspects[node] if node in left and above != "part" else above
+        if state[node] == "header" and page.tags[node] in HEADINGS:
+            state[node] = ""
+    return [block for block in page.blocks if not state[block[0]]]
+
+
 def select(page: Page) -> list[str]:
-    tags, parents, blocks = page.tags, page.parents, page.blocks
+    tags, parents, blocks = page.tags, page.parents, without_suspects(page)
     points = [0.0] * len(tags)
     chars = [0] * len(tags)
     link_chars = [0.0] * len(tags)
     n_links = [0] * len(tags)
     for node, text, linked in blocks:
-        gained = 0.0
-        if len(text) >= PARAGRAPH:
-            gained = (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - linked)
+        gained = gained_points(text, linked)
         chars[node] += len(text)
         link_chars[node] += linked * len(text)
         n_links[node] += linked > 0.5

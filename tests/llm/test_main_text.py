@@ -26,6 +26,44 @@ def test_article_without_the_rest():
     ]
 
 
+def test_words_in_names_of_wrappers_lose_no_article():
+    body = f"<p>One, {LONG}</p><p>Two, {LONG}</p>"
+    text = f"One, {LONG}\n\nTwo, {LONG}"
+    side = f"<div class=sidebar><p>Side, {LONG}</p></div>"
+    for name in ("content with-sidebar", "layout no-sidebar", "post comments-open", "login share toc"):
+        assert main_text(f"<body><div class='{name}'>{body}</div></body>") == text
+        assert main_text(f"<body><div id='{name}'><div class=x>{body}</div>{side}</div></body>") == text
+        assert main_text(f"<body><div class='{name}'>{side}<article class='{name}'>{body}</article></div>") == text
+        assert main_text(f"<main><article class='{name}'>{body}</article>{side}</main>") == text
+    assert main_text(f"<div class=header>{body}</div>") == text
+    assert main_text(f"<section id='search-algorithms'>{body}</section>") == text
+    assert main_text(f"<body><div class=ad>One, {LONG}</div><div class=menu>Two, {LONG}</div></body>") == text
+    assert main_text("<div class=login>Short</div>") == "Short"
+
+
+def test_words_in_ids_of_headings_and_lines():
+    parts = "".join(
+        f"<section id='{i}'><h2 id='{i}'>{h}</h2><p class=share>{h}: {LONG} <span class=search>s</span></p></section>"
+        for i, h in (("intro", "Intro"), ("search-algorithms", "Search algorithms"), ("how-to-share-data", "How to Share Data"))
+    )
+    got = main_text(f"<article>{parts}<div class=related-posts><h2>Related posts</h2><p>x</p></div></article>")
+    assert got.split("\n\n") == [
+        line for h in ("Intro", "Search algorithms", "How to Share Data") for line in (h, f"{h}: {LONG} s")
+    ]
+
+
+def test_parts_that_words_name_still_go():
+    post = f"<p>One, {LONG}</p><p>Two, {LONG}</p>"
+    talk = f"<div id=comments><article class=comment-body><p>Reader, {LONG}</p></article></div>"
+    assert "Reader" not in main_text(f"<main><article class='post comments-open'>{post}</article>{talk}</main>")
+    assert "Reader" not in main_text(f"<article>{post}{talk}</article>")
+    lines = "<br>".join(["Short"] * 99)
+    poem = "".join(f"<div>Line {n}</div>" for n in range(99))
+    assert main_text(f"<div>{poem}</div><div class=ad>{LONG}</div>").count("Line") == 99
+    head = f"<article><div class=header><h1>Head</h1><span>by me</span></div>{post}{lines}</article>"
+    assert main_text(head).startswith("Head\n\nOne")
+
+
 def test_defined_cases():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == main_text("<script>x") == ""
     assert main_text("plain & simple &amp text") == "plain & simple & text"
@@ -40,6 +78,7 @@ def test_defined_cases():
 def test_deep_and_long_pages():
     assert main_text("<div>" * 20000 + "x") == "x"
     assert main_text("<p>a</p>" * 20000).count("a") == 20000
+    assert main_text("<div class=menu>" * 20000 + "x") == "x"
 
 
 def test_operator(spark):
