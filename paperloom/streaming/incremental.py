@@ -34,9 +34,15 @@ def document_stream(landed: DataFrame, source: Source, rank: int = 0) -> DataFra
 
 
 def first_seen(
-    docs: DataFrame, keys: list[str], event_time: str, delay: str = "1 day"
+    docs: DataFrame, keys: list[str], event_time: str | None = None, delay: str = "1 day"
 ) -> DataFrame:
-    """Documents whose key has not been seen within the watermark; state is bounded by it."""
+    """Documents whose key has not been seen before.
+
+    With ``event_time`` the watermark bounds the state, and rows more than ``delay`` behind the
+    latest one are dropped. Without it the state holds every key and no row is too late.
+    """
+    if event_time is None:
+        return docs.dropDuplicates(keys)
     return docs.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from paperloom import schemas
+from paperloom.plans import catalog_linkage
 from paperloom.session import scratch_path
 from paperloom.sources.files import SnapshotTable
 from paperloom.sources.mappers import SOURCES
@@ -56,6 +57,20 @@ def test_first_seen_across_batches(spark, tmp_path):
     assert run() == [("a", "A"), ("b", "B")]
 
 
+def test_first_seen_of_documents_with_distant_ids(spark, tmp_path, monkeypatch):
+    landed = tmp_path / "landing"
+    for seq in (60_000, 1, 50_000, 2, 3, 70_000, 5, 4, 6, 7):
+        land(landed, f"{len(list(landed.glob('*'))) if landed.exists() else 0}.json", seq, {"doi": f"d{seq}"}, {"doi": "same"})
+
+    def streams(spark, sf_dir, files_per_batch):
+        return document_stream(landed_stream(spark, sf_dir, files_per_batch=1), SOURCES["bioRxiv"])
+
+    monkeypatch.setattr(catalog_linkage, "_document_streams", streams)
+    got = catalog_linkage.stream_uid_dedup(spark, str(landed)).collect()
+    expected = ["same", *(f"d{n}" for n in (1, 2, 3, 4, 5, 6, 7, 50_000, 60_000, 70_000))]
+    assert sorted(r["external_id"] for r in got) == sorted(expected)
+
+
 def test_result_does_not_depend_on_batches_or_arrival(spark, tmp_path):
     """Files of one key in any order and batch size leave the values of the latest response."""
     files = {
