@@ -59,15 +59,15 @@ PREPRINT_RESPONSE = (
 CROSSREF_RESPONSE = (
     "STRUCT<message: STRUCT<items: ARRAY<STRUCT<DOI: STRING, title: ARRAY<STRING>, "
     "`container-title`: ARRAY<STRING>, URL: STRING, abstract: STRING, "
-    "`published-print`: STRUCT<`date-parts`: ARRAY<ARRAY<INT>>>, "
-    "`published-online`: STRUCT<`date-parts`: ARRAY<ARRAY<INT>>>>>>>"
+    "`published-print`: STRUCT<`date-parts`: ARRAY<ARRAY<STRING>>>, "
+    "`published-online`: STRUCT<`date-parts`: ARRAY<ARRAY<STRING>>>>>>>"
 )
 OPENALEX_RESPONSE = (
     "STRUCT<results: ARRAY<STRUCT<id: STRING, doi: STRING, display_name: STRING, "
-    "publication_year: INT, primary_location: STRUCT<source: STRUCT<display_name: STRING>>>>>"
+    "publication_year: STRING, primary_location: STRUCT<source: STRUCT<display_name: STRING>>>>>"
 )
 SEMANTIC_SCHOLAR_RESPONSE = (
-    "STRUCT<data: ARRAY<STRUCT<title: STRING, abstract: STRING, year: INT, venue: STRING, "
+    "STRUCT<data: ARRAY<STRUCT<title: STRING, abstract: STRING, year: STRING, venue: STRING, "
     "url: STRING, externalIds: STRUCT<DOI: STRING, PubMed: STRING, PubMedCentral: STRING>>>>"
 )
 DOAJ_RESPONSE = (

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from paperloom import schemas
 from paperloom.functions.exprs import first_present, present
@@ -35,6 +36,7 @@ COMMON_COLUMNS = [
 # ingest_seq: source rank, response_seq and position in the response, 7 + 36 + 20 bits.
 POSITION_BITS = 20
 CORRUPT = "_corrupt"
+OPTIONS = {"columnNameOfCorruptRecord": CORRUPT}
 RESPONSE_BITS = 36
 
 
@@ -51,6 +53,21 @@ class Source:
         """The response schema with room for the text of a response that does not parse."""
         return f"{self.schema.rstrip()[:-1]}, {CORRUPT}: STRING>"
 
+    @property
+    def item_schema(self) -> DataType:
+        found = DataType.fromDDL(self.schema)
+        for name in self.items.split("."):
+            found = found[name].dataType
+        return found.elementType
+
+    @property
+    def raw_schema(self) -> StructType:
+        """The place of the items in a response, each of them as text."""
+        found: DataType = ArrayType(StringType())
+        for name in reversed(self.items.split(".")):
+            found = StructType([StructField(name, found)])
+        return StructType([*found.fields, StructField(CORRUPT, StringType())])
+
 
 def _title_or_unknown(title: Column) -> Column:
     return first_present(title, F.lit("Unknown"))
@@ -230,19 +247,22 @@ def map_responses(
     """Documents of landed responses (response_seq, response), one row per item with an id.
 
     ``response`` is JSON text or already a struct of the source's schema. All items of a
-    response are used, unless ``max_results`` or the source sets a limit. What does not
-    parse has no rows here and is what ``rejected_responses`` gives. The mapping needs no
-    shuffle and works on streams too.
+    response are used, unless ``max_results`` or the source sets a limit; a field of another
+    type than the schema's is null, without a loss of the others. What does not parse has no
+    rows here and is what ``rejected_responses`` gives. The mapping needs no shuffle and works
+    on streams too.
     """
     caps = [c for c in (max_results, source.max_items) if c is not None]
+    items = F.col(f"response.{source.items}")
     if dict(landed.dtypes)["response"] == "string":
-        landed = _parsed(landed, source).withColumn(
-            "response", F.when(F.col(f"response.{CORRUPT}").isNull(), F.col("response"))
+        landed = _parsed(landed, source)
+        items = F.when(F.col(f"response.{CORRUPT}").isNull(), items).otherwise(
+            _items_one_by_one(source)
         )
     # The plain form of the generator would add a filter on the size of the list, which is
     # pushed below the projection that parses the response and parses it a second time.
     items = landed.select(
-        "response_seq", F.posexplode_outer(f"response.{source.items}").alias("pos", "item")
+        "response_seq", F.posexplode_outer(items).alias("pos", "item")
     ).where(F.col("pos") < min(caps) if caps else F.col("pos").isNotNull())
     fields = source.fields(F.col("item"))
     columns = [F.lit(source.name).alias("source_name")]
@@ -256,19 +276,43 @@ def map_responses(
 
 
 def _parsed(landed: DataFrame, source: Source) -> DataFrame:
-    options = {"columnNameOfCorruptRecord": CORRUPT}
-    return landed.withColumn("response", F.from_json("response", source.landed_schema, options))
+    """Landed responses with their text as ``_text``, and ``response`` parsed as a whole."""
+    return landed.withColumn("_text", F.col("response")).withColumn(
+        "response", F.from_json("response", source.landed_schema, OPTIONS)
+    )
+
+
+def _raw_items(source: Source) -> Column:
+    return F.from_json("_text", source.raw_schema, OPTIONS)
+
+
+def _items_one_by_one(source: Source) -> Column:
+    """Items of a response that does not parse as a whole: null if it is no object with a list.
+
+    Parsed as a whole, one item of another type, or with such a part, takes all items with it.
+    """
+    raw = _raw_items(source)
+    texts = raw
+    for name in source.items.split("."):
+        texts = texts[name]
+    schema = source.item_schema
+    return F.when(
+        raw[CORRUPT].isNull(),
+        F.transform(texts, lambda t: F.when(F.startswith(t, F.lit("{")), F.from_json(t, schema))),
+    )
 
 
 def rejected_responses(landed: DataFrame, source: Source) -> DataFrame:
     """Landed responses that give no documents because they cannot be read.
 
     Rows (source_name, response_seq, reason, response): ``missing`` for null or blank text,
-    ``malformed`` for text that is no JSON object of the source's schema.
+    ``malformed`` for text that is no JSON object with the source's list of items.
     """
-    parsed = _parsed(landed.withColumn("_text", F.col("response")), source)
+    parsed = _parsed(landed, source)
     blank = F.col("_text").isNull() | (F.trim("_text") == "")
-    malformed = F.col("response").isNull() | F.col(f"response.{CORRUPT}").isNotNull()
+    malformed = F.col("response").isNull() | (
+        F.col(f"response.{CORRUPT}").isNotNull() & _raw_items(source)[CORRUPT].isNotNull()
+    )
     reason = F.when(blank, "missing").when(malformed, "malformed")
     return parsed.where(blank | malformed).select(
         F.lit(source.name).alias("source_name"),

@@ -139,6 +139,29 @@ def test_unreadable_responses_are_reported(spark):
     assert [r["external_id"] for r in map_responses(landed, SOURCES["bioRxiv"]).collect()] == ["d"]
 
 
+def test_a_field_of_another_type_loses_no_item(spark):
+    items = [
+        {"id": "a", "publication_year": 2020},
+        {"id": "b", "publication_year": "2021", "primary_location": {"source": 5}},
+        {"id": "c", "primary_location": [1], "display_name": "C"},
+        7,
+        {"id": "d", "primary_location": {"source": {"display_name": "J"}}},
+    ]
+    rows = mapped(spark, "OpenAlex", {"results": items}, {"results": 5})
+    assert [(r["external_id"], r["title"], r["publication_date"], r["journal_or_site"], r["ingest_seq"]) for r in rows] == [
+        ("a", "Unknown", "2020", None, 0), ("b", "Unknown", "2021", None, 1), ("c", "C", None, None, 2),
+        ("d", "Unknown", None, "J", 4),
+    ]
+    items = [{"DOI": "a", "title": "plain"}, {"DOI": "b", "title": ["T"], "published-print": {"date-parts": [["2021"]]}}]
+    rows = mapped(spark, "Crossref", {"message": {"items": items}})
+    assert [(r["external_id"], r["title"], r["publication_date"]) for r in rows] == [("a", "Unknown", ""), ("b", "T", "2021")]
+    rows = mapped(spark, "Semantic Scholar", {"data": [{"url": "u", "year": "2021"}, {"url": "v", "externalIds": "x"}]})
+    assert [(r["external_id"], r["publication_date"]) for r in rows] == [("u", "2021"), ("v", None)]
+    texts = [json.dumps({"results": [{"id": "a"}, 7]}), '{"results": [{"id": "a"}, 7', '{"results": 5}']
+    landed = spark.createDataFrame(list(enumerate(texts)), schemas.LANDED)
+    assert sorted(r["response_seq"] for r in rejected_responses(landed, SOURCES["OpenAlex"]).collect()) == [1, 2]
+
+
 def test_discovery_keeps_the_first_of_each_id_in_order_of_sources(spark):
     landed = {
         "medRxiv": [{"collection": [{"doi": "d", "title": "first"}]}, {"collection": [{"doi": "d", "title": "again"}]}],
