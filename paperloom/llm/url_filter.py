@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from paperloom.llm.shared import components
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Characters of URLs with the names of their character references.
+PUNCTUATION = [
+    ("/", "sol"), (":", "colon"), ("?", "quest"), ("=", "equals"), ("#", "num"), (".", "period"),
+    ("%", "percnt"), ("+", "plus"), ("_", "lowbar"), (";", "semi"), (",", "comma"), ("-", "hyphen"),
+]
 
 
 @dataclass(frozen=True)
@@ -68,11 +73,57 @@ def rule_column(host: Column, path: Column, rules: list[Rule]) -> Column:
     return result
 
 
+def decoded(text: Column) -> Column:
+    """Character references of markup and punctuation, by name or number; ``&amp;`` last."""
+    for char, names in (("<", "lt"), (">", "gt"), ('"', "quot"), ("'", "apos"), *PUNCTUATION):
+        n = ord(char)
+        text = F.regexp_replace(text, f"(?i)&(?:{names}|#0*{n}|#x0*{n:x});", char)
+    return F.regexp_replace(text, "(?i)&(?:amp|#0*38|#x0*26);", "&")
+
+
+def without_dots(path: Column) -> Column:
+    """A path that begins with a slash, without its ``.`` and ``..`` segments."""
+    segments = F.split(F.regexp_replace(path, r"/(\.\.?)$", "/$1/"), "/")
+
+    def step(done: Column, segment: Column) -> Column:
+        shorter = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return (
+            F.when(segment == "..", shorter)
+            .when(segment == ".", done)
+            .otherwise(F.concat(done, F.array(segment)))
+        )
+
+    return F.array_join(F.aggregate(segments, F.array().cast("array<string>"), step), "/")
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """A target as seen from a URL; null for other schemes and for parts of a URL without host."""
+    scheme = F.regexp_extract(base, r"(?s)^(.*?):", 1)
+    host, path = url_host(base), url_path(base)
+    root = F.concat(scheme, F.lit("://"), host)
+    path = F.when(path == "", F.lit("/")).otherwise(path)
+    query = F.regexp_extract(base, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    target_path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)", 1)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    full = F.when(target.startswith("/"), target_path).otherwise(F.concat(folder, target_path))
+    inside = (
+        F.when(target.startswith("#"), F.concat(root, path, query, target))
+        .when(target.startswith("?"), F.concat(root, path, target))
+        .otherwise(F.concat(root, without_dots(full), rest))
+    )
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(host != "", inside)
+    )
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Alias links (src, dst) that pages declare: canonical links and meta refresh redirects.
 
-    Relative targets (without ``://``) are resolved for ``//host/..`` and ``/path`` only. Null
-    html, pages without such markup and pages without a host give no row.
+    Relative targets are resolved against the page's ``<base href>`` or else its URL. Null html, pages without such markup and pages without a host give no row.
     """
     tag = F.explode(
         F.regexp_extract_all(
@@ -80,7 +131,9 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         )
     )
     tags = pages.where(F.col(html).rlike(r"(?i)<(?:link|meta)\s")).select(
-        F.col(url).alias("src"), tag.alias("tag")
+        F.col(url).alias("src"),
+        F.regexp_extract(html, r"""(?is)<base\s(?:[^>]*?\s)?href\s*=\s*["']?([^"'\s>]+)""", 1).alias("base"),
+        tag.alias("tag"),
     )
     t = F.col("tag")
     href = F.regexp_extract(t, r"""(?is)\shref\s*=\s*["']?([^"'\s>]+)""", 1)
@@ -89,14 +142,12 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         t.rlike(r"""(?is)\shttp-equiv\s*=\s*["']?refresh\b"""),
         F.regexp_extract(t, r"""(?is)\scontent\s*=\s*["']?[^>]*?url\s*=\s*'?([^"'\s>]+)""", 1),
     )
-    target = F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&"))
-    found = tags.select("src", target.alias("dst")).where(F.col("dst") != "")
-    scheme = F.regexp_extract("src", r"(?s)^(.*?):", 1)
-    dst = (
-        F.when(F.col("dst").contains("://"), F.col("dst"))
-        .when(F.col("dst").startswith("//"), F.concat(scheme, F.lit(":"), "dst"))
-        .when(F.col("dst").startswith("/"), F.concat(scheme, F.lit("://"), url_host(F.col("src")), "dst"))
-    )
+    target = decoded(F.coalesce(canonical, refresh))
+    found = tags.select("src", "base", target.alias("dst")).where(F.col("dst") != "")
+    own_base = resolved(decoded(F.col("base")), F.col("src"))
+    base = F.when(F.col("base") != "", F.coalesce(own_base, "src")).otherwise(F.col("src"))
+    dst = resolved(F.col("dst"), F.col("base"))
+    found = found.select("src", base.alias("base"), "dst")
     return found.select("src", dst.alias("dst")).where(F.col("dst").isNotNull())
 
 

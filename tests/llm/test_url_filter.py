@@ -70,6 +70,23 @@ def test_links_of_pages(spark):
     }
 
 
+def test_relative_links_of_pages(spark):
+    cases = [
+        ("http://a.info/x/y/1?q=1#f", "page.html", "http://a.info/x/y/page.html"),
+        ("http://a.info/x/y/1", "../z?u=http://b.net/..", "http://a.info/x/z?u=http://b.net/.."),
+        ("http://a.info/x/y/1", "../../../..", "http://a.info/"),
+        ("http://a.info/x/1?q", "?id=3", "http://a.info/x/1?id=3"),
+        ("http://a.info", "./p/./q/", "http://a.info/p/q/"),
+        ("http://a.info/x", "/p&#47;r&#x3F;a=1&#38;b=2", "http://a.info/p/r?a=1&b=2"),
+        ("http://a.info/x", "mailto:me", None),
+        ("no host", "page.html", None),
+    ]
+    html = [(u, f"<link rel=canonical href='{t}'>") for u, t, _ in cases]
+    html.append(("http://a.info/b", '<base target=x href="/far/away/"><link rel="canonical" href="p">'))
+    expected = {(u, e) for u, _, e in cases if e} | {("http://a.info/b", "http://a.info/far/away/p")}
+    assert {tuple(r) for r in page_links(spark.createDataFrame(html, "url string, html string")).collect()} == expected
+
+
 def test_components_of_stars_chains_and_loops(spark):
     edges = [(0, i) for i in range(1, 300)] + [(1000 - i, 999 - i) for i in range(150)]
     edges += [(5000, 5000), (None, 3), (7000, 6999), (6999, 7000)]
