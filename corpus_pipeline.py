@@ -121,10 +121,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document: doc_id, lang, source, n_tokens, ids."""
+    """Token ids of every document, decoded again: doc_id, lang, source, n_tokens, ids, decoded_sha256."""
     model = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.encode_texts(docs, model, carry=["doc_id", "lang", "source"], decode=False)
-    return coded.select("row.*", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    coded = bpe.encode_texts(docs, model, carry=["doc_id", "lang", "source"])
+    n_tokens = F.size("ids").cast("bigint").alias("n_tokens")
+    return coded.select("row.*", n_tokens, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

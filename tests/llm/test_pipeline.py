@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -96,6 +97,15 @@ def test_tokens_like_the_library(stages, vocabulary):
     assert all(r["n_tokens"] == len(r["ids"]) for r in stages[5])
 
 
+def test_tokens_are_decoded_again(spark, documents, vocabulary):
+    library = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    rows = pipeline.tokens(spark, documents([(1, "Some words,\n and é", "en", "s"), (None, "", None, None)]), "").collect()
+    assert [r["decoded_sha256"] for r in rows] == [
+        hashlib.sha256(library.decode(r["ids"], skip_special_tokens=False).encode()).hexdigest() for r in rows
+    ]
+    assert len(rows) == 2
+
+
 def test_run_and_empty_table(spark, documents, stages, folder, tmp_path):
     assert plain(pipeline.run(spark, folder).collect(), ["doc_id", "n_tokens"]) == plain(
         stages[5], ["doc_id", "n_tokens"]
