@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import (
     bpe,
+    importance,
     jaccard_join,
     langid,
+    lexical_search,
     line_dedup,
     main_text,
     mixing,
     near_vectors,
     token_files,
     topk_search,
+    toxicity,
     url_filter,
 )
 from paperloom.llm.shared import table
+from paperloom.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -247,3 +251,105 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages.select("page_id", "url"), RULES, url_filter.page_links(pages)
     )
     return judged.select("row.page_id", "judged.*")
+
+
+SQL_WORDS = (
+    f"regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+
+@query(
+    "op11_lexical_search",
+    f"""
+WITH words AS (SELECT doc_id, unnest({SQL_WORDS}) AS w FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_words FROM lengths),
+freq AS (SELECT doc_id, w, count(*) AS tf FROM words GROUP BY doc_id, w),
+terms AS (SELECT DISTINCT item_id, w FROM (SELECT item_id, unnest({SQL_WORDS}) AS w FROM benchmark)),
+weights AS (
+  SELECT w, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM freq, total GROUP BY w, n_docs),
+scores AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf)
+    // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_words))))::BIGINT AS score
+  FROM terms JOIN freq USING (w) JOIN weights USING (w) JOIN lengths USING (doc_id), total
+  GROUP BY item_id, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scores WHERE score > 0)
+WHERE rank <= 50
+""",
+)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    pairs = written(lexical_search.item_terms(items, "item_id", "text"), "item-terms")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = lexical_search.build_index(docs, terms=pairs.select("term"))
+    return lexical_search.search(index, pairs, k=50)
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = unlabelled_column(F.col("doc_id"))
+    model = toxicity.train(docs, labels, usable=~held_out)
+    judged = toxicity.predict(docs, model, bar=0.7, carry=["doc_id"])
+    return judged.select(
+        "row.doc_id",
+        unlabelled_column(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        "predicted",
+    )
+
+
+def unlabelled_column(doc_id: Column) -> Column:
+    """True for the documents whose labels no model may learn; a null id counts as empty text."""
+    text = F.coalesce(doc_id.cast("string"), F.lit(""))
+    return F.crc32(F.encode(text, "utf-8")) % 3 == 1
+
+
+@query(
+    "op13_importance",
+    f"""
+WITH RECURSIVE
+bits(b, c, i) AS (  -- the table of crc32, eight steps for each byte
+  SELECT b::BIGINT, b::BIGINT, 0 FROM generate_series(0, 255) AS t(b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM bits WHERE i < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE i = 8),
+words AS MATERIALIZED (SELECT 0 AS k, doc_id AS id, unnest({SQL_WORDS}) AS w FROM documents
+  UNION ALL SELECT 1, item_id, unnest({SQL_WORDS}) FROM benchmark),
+spelled AS (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)),
+hashed AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(generate_series(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM spelled, crc),
+counts AS (
+  SELECT b AS bucket, count(w) FILTER (k = 0) AS s, count(w) FILTER (k = 1) AS t
+  FROM generate_series(0, 9999) AS g(b) LEFT JOIN (FROM words JOIN hashed USING (w)) x ON x.bucket = b
+  GROUP BY b),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE)
+    / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts),
+weights AS (
+  SELECT id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+  FROM words JOIN hashed USING (w) JOIN gains USING (bucket) WHERE k = 0 GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT) AS score
+  FROM documents LEFT JOIN weights ON doc_id = id),
+able AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN able USING (doc_id)
+""",
+)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.draw(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
