@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
-from paperloom.llm.arrow import pieces
+from paperloom.llm.arrow import pieces, spans
 from paperloom.llm.words import words_of
 from paperloom.session import written
 
@@ -288,13 +288,6 @@ def visit(row: dict, block: Block, bounds: np.ndarray, best: Best) -> None:
         best.add(group[own], score[own, doc], docs.take(pa.array(doc)))
 
 
-def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers of all spans one after another."""
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
-
-
 def read_chunks(batch: pa.RecordBatch, block: Block) -> Iterator[tuple[dict, np.ndarray]]:
     """Chunks with the bounds of every item, from the highest bound down."""
     found = []

@@ -15,6 +15,7 @@ that Spark writes can hold them.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import sys
 import zlib
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paperloom.llm.arrow import pieces
+from paperloom.llm.arrow import pieces, spans
 from paperloom.session import written
 
 MAGIC = b"PLTK0001"
@@ -114,7 +115,11 @@ def read_file(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # White space other than single spaces and line feeds between other characters.
 OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 IRREGULAR = ["  ", " \n", "\n ", "\n\n", *OTHER_SPACE]
-KNOWN = 600_000  # pieces in each of the two generations that a worker remembers
+LETTER = np.zeros(256, dtype=bool)
+LETTER[list(string.ascii_letters.encode())] = True
+MARK = np.zeros(256, dtype=bool)
+MARK[list((string.digits + string.punctuation).encode())] = True
+KNOWN = 1_000_000  # pieces that a worker remembers before it forgets them all
 JOINED = 1 << 14  # bytes of new pieces encoded as one string
 
 
@@ -123,8 +128,10 @@ class PieceEncoder:
 
     A byte-level vocabulary whose pattern takes a space along with what follows splits text
     the same way on both sides of a single space or line feed between other characters. So a
-    text with no other white space is cut there, and the library sees only pieces it has not
-    seen yet, joined into longer strings. Every other text goes to the library whole.
+    text with no other white space is cut there, and where a run of letters ends before a digit
+    or a mark of ASCII, since a run of letters is never split from within. The pieces of many texts become numbers of
+    known pieces, whose ids are gathered from one flat array; the library sees only pieces that
+    are new, joined into longer strings. Every other text goes to the library whole.
     """
 
     def __init__(self, file_text: str) -> None:
@@ -135,60 +142,82 @@ class PieceEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids = np.empty(0, dtype="<u4")  # of all known pieces, one after another
+        self.ends = np.zeros(1, dtype=np.int64)  # where the ids of each known piece begin and end
 
     def regular(self, text: str) -> bool:
         if text[0] in " \n" or text[-1] in " \n":
             return False
         return not any(s in text for s in IRREGULAR) and not any(s in text for s in self.special)
 
-    def whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def learn(self, new: list[str]) -> None:
-        """Encode pieces that begin with a space or a line feed."""
-        sizes = np.fromiter((len(p.encode()) for p in new), dtype=np.int64, count=len(new))
-        groups = np.cumsum(sizes) // JOINED
-        starts = np.searchsorted(groups, np.arange(groups[-1] + 2)) if len(new) else np.zeros(1, int)
-        joined = ["".join(new[a:b]) for a, b in zip(starts, starts[1:])]
-        for a, b, raw in zip(starts, starts[1:], self.whole(joined)):
+        return [np.array(e.ids, dtype="<u4") for e in found]
+
+    def learn(self, new: list[bytes]) -> None:
+        """Encode pieces: on their own at the beginning of a text, joined where a space begins them."""
+        first = [p for p in new if p[0] not in b" \n"]
+        ids = self.whole([p.decode() for p in first])
+        sizes = [len(i) for i in ids]
+        rest = [p for p in new if p[0] in b" \n"]
+        bytes_of = np.fromiter(map(len, rest), dtype=np.int64, count=len(rest))
+        groups = np.cumsum(bytes_of) // JOINED
+        starts = np.flatnonzero(np.append(True, groups[1:] != groups[:-1])) if rest else []
+        joined = [b"".join(rest[a:b]).decode() for a, b in zip(starts, [*starts[1:], len(rest)])]
+        found = self.whole(joined)
+        if found:
             # Ids of a byte-level vocabulary stand for a fixed number of bytes each.
-            ends = np.cumsum(self.n_bytes[np.frombuffer(raw, dtype="<u4")])
-            cuts = np.searchsorted(ends, np.cumsum(sizes[a:b])) * 4 + 4
-            at = 0
-            for piece, cut in zip(new[a:b], cuts.tolist()):
-                self.known[piece] = raw[at:cut]
-                at = cut
+            ends = np.cumsum(self.n_bytes[np.concatenate(found)])
+            cuts = np.searchsorted(ends, np.cumsum(bytes_of)) + 1
+            sizes = np.append(sizes, np.diff(cuts, prepend=0))
+        number = len(self.known)
+        self.known.update(zip([*first, *rest], range(number, number + len(new))))
+        self.ids = np.concatenate([self.ids, *ids, *found])
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(sizes, dtype=np.int64))
+
+    def pieces_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of regular texts one after another, and the number of each text's ids."""
+        encoded = [t.encode() for t in texts]
+        raw = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+        first = np.cumsum([0, *map(len, encoded)])[:-1]
+        cut = (raw == ord(" ")) | (raw == ord("\n"))
+        cut[1:] |= MARK[raw[1:]] & LETTER[raw[:-1]]
+        cut[first] = True
+        starts = np.flatnonzero(cut)
+        buffers = [None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)]
+        found = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        different = found.dictionary.to_pylist()
+        new = [p for p in different if p not in self.known]
+        if len(self.known) + len(new) > KNOWN:
+            self.forget()
+            new = different
+        if new:
+            self.learn(new)
+        number = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))
+        number = number[found.indices.to_numpy()]
+        begin = self.ends[number]
+        sizes = self.ends[number + 1] - begin
+        per_text = np.add.reduceat(sizes, np.searchsorted(starts, first))
+        return self.ids[spans(begin, sizes)], per_text
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        cut: dict[int, list[str]] = {}
-        odd = []
+        cut, odd = [], []
         for i, text in enumerate(texts):
-            if not text:
-                continue
-            if self.regular(text):
-                # The mark is a character that no text of this branch contains.
-                cut[i] = text.replace(" ", "\t ").replace("\n", "\t\n").split("\t")
-            else:
-                odd.append(i)
+            if text:
+                (cut if self.regular(text) else odd).append(i)
         for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
-            out[i] = ids
-        firsts = list(cut)
-        heads = self.whole([cut[i].pop(0) for i in firsts])
-        wanted = set().union(*cut.values())
-        missing = wanted - self.known.keys()
-        if len(self.known) + len(missing) > KNOWN:
-            # What is still in use moves to the new generation, the rest is forgotten later.
-            self.older, self.known, missing = self.known, {}, wanted
-        again = missing & self.older.keys()
-        self.known.update((p, self.older[p]) for p in again)
-        self.learn(list(missing - again))
-        known = self.known
-        for i, head in zip(firsts, heads):
-            out[i] = head + b"".join(map(known.__getitem__, cut[i]))
+            out[i] = ids.tobytes()
+        if cut:
+            ids, per_text = self.pieces_of([texts[i] for i in cut])
+            raw, at = ids.tobytes(), 0
+            for i, n in zip(cut, (4 * per_text).tolist()):
+                out[i] = raw[at : at + n]
+                at += n
         return out
 
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -27,6 +28,20 @@ def test_pieces_like_whole_texts(vocabulary, library, words):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_pieces_of_odd_texts_like_the_library(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN", 700)  # so that pieces are forgotten on the way
+    rng = random.Random(9)
+    parts = [" ", " ", "\n", "a", "b.", "it's", "'", "'s", "x1", "9", "é", "e\u0301", "日", ".", ",\n", "ing", " the"]
+    parts += ["%%%", "<|endoftext|>", "\t", "\x00", "\u00a0", "I'LL", "'re"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(6000)]
+    texts += ["".join(rng.choice(parts[3:17]) for _ in range(9)) for _ in range(4000)]
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        encoder = PieceEncoder(file.read())
+    got = [x for at in range(0, len(texts), 500) for x in encoder.encode(texts[at : at + 500])]
+    expected = library.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [e.ids for e in expected]
+
+
 @pytest.mark.parametrize("bits", [False, True])
 @pytest.mark.parametrize("n", [0, 1, 7, 65536, 65537, 200_001])
 def test_file_round_trip(bits, n):
