@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Spark then deletes the shuffle files of a write at its end, not when the driver's JVM happens
+#: to collect the objects that stand for them.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,11 +44,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Later stages start from the files, so lost executors cost at most the stage that runs.
     Size estimates are those of the files; a checkpoint would keep the estimates of the plan
-    it came from, which multiply with every join of a loop.
+    it came from, which multiply with every join of a loop. The shuffle files of the write go
+    with it, since nothing reads them again.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP_CONF, "false")
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:
