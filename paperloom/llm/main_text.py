@@ -6,17 +6,22 @@ points is the article; its siblings join if they score well too. What stays are
 these elements in page order.
 
 Parts that are never article are left out while the page is read: navigation, headers,
-footers, asides, forms, scripts and styles by their tags or roles. Elements whose class or id
-has a whole word for adverts, notices, menus, sharing or reader comments are only suspects,
-since such words are also in names of wrappers and in ids made from headings. They are read,
-and left out before the scores if the rest of the page is enough without them (``suspects``).
+footers, asides, controls, scripts and styles by their tags or roles. Forms, and elements whose
+class or id has a whole word for adverts, notices, menus, sharing or reader comments, are only
+suspects, since a form may hold the whole page and such words are also in names of wrappers and
+in ids made from headings. They are read, and left out before the scores if the rest of the
+page is enough without them (``suspects``). A page that has no text without its navigation,
+headers, footers and hidden parts is read again with these as suspects too, if they hold prose.
+
+Any text is a page: markup that is no tag of HTML is skipped as the HTML standard does, and the
+time is linear in the length of the page.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Collection
-from html.parser import HTMLParser
+from collections import defaultdict
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,10 +41,14 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset(
     "html body main article section div td blockquote center figure details".split()
 )
+# Elements that are no text, and elements that are no article unless there is nothing else.
 LEFT_OUT = frozenset(
-    "head script style noscript template svg math iframe object canvas audio video form button "
-    "select option textarea input label fieldset dialog nav footer aside menu".split()
+    "head script style noscript template svg math iframe object canvas audio video button "
+    "select option textarea input".split()
 )
+ASIDE = frozenset("header nav footer aside menu dialog label".split())
+# Elements whose content has no tags, up to their own end tag.
+RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split()
 )
@@ -54,8 +63,8 @@ WORDS = frozenset(
 )
 # Elements that a word makes suspect: no headings, no paragraphs, nothing inside a line.
 SUSPECT = BLOCK - HEADINGS - {"html", "body", "main", "p"}
+FORMS = frozenset(("form", "fieldset"))
 LISTS = frozenset("ul ol dl table".split())
-BARRIERS = BLOCK - {"p"}
 # Elements that end an open one of their kind, up to the element that holds them.
 CLOSES = {
     "li": ("ul", "ol", "menu", "dir"),
@@ -76,14 +85,28 @@ REST = 0.1  # share of the points outside of suspects below which these are the
 MOST_TEXT = 0.25  # share of the text without links that goes with most of the points
 
 
-class Page(HTMLParser):
-    """Blocks of text of one page, and the tree of elements that hold them."""
+# Where markup begins: a comment, a tag, or something else that is skipped up to the next ">".
+MARKUP = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
+# The end of a tag, or the next of its attributes up to its value.
+IN_TAG = re.compile(r"[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(\s*=\s*)?)")
+UNQUOTED = re.compile(r"[^\s>]*")
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+
+class Page:
+    """Blocks of text of one page, and the tree of elements that hold them.
+
+    With ``lenient`` navigation, headers, footers and hidden parts are suspects; otherwise they
+    are left out.
+    """
+
+    def __init__(self, html: str, lenient: bool = False) -> None:
+        self.lenient = lenient
+        self.cut = False  # whether something was left out that would be a suspect
         self.tags = ["#root"]
         self.parents = [-1]
         self.stack = [0]
+        self.open_at: dict[str, list[int]] = defaultdict(list)  # places in the stack by tag
+        self.blocks_at = [0]  # places in the stack of open blocks
         self.out_at: list[int] = []  # stack depths of open parts that are left out
         self.header_at: list[int] = []  # stack depths of open headers inside an article
         self.suspects: dict[int, str] = {}  # elements with a word, in page order
@@ -96,14 +119,47 @@ class Page(HTMLParser):
         self.parts: list[str] = []
         self.link_chars = 0
         self.blocks: list[tuple[int, str, float]] = []
+        self.read(html)
+        self.flush()
+
+    def read(self, html: str) -> None:
+        """Read the whole page. What ends nowhere (a tag, a comment) reaches to the page's end."""
+        last = {c: html.rfind(c) for c in "\"'>"}
+        at = 0
+        while found := MARKUP.search(html, at):
+            if found.start() > at:
+                self.handle_data(unescape(html[at : found.start()]))
+            comment, end_tag, name = found.groups()
+            if comment:
+                closed = html.find("-->", found.start() + 2)
+                at = len(html) if closed < 0 else closed + 3
+            elif name is None:
+                closed = html.find(">", found.end() - 1)
+                at = len(html) if closed < 0 else closed + 1
+            elif found.start() > last[">"]:
+                return
+            else:
+                attrs, at = read_attributes(html, found.end(), last)
+                if at < 0:
+                    return
+                tag = name.lower()
+                if end_tag:
+                    self.handle_endtag(tag)
+                    continue
+                self.handle_starttag(tag, attrs)
+                if tag in RAW:
+                    closing = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
+                    inner = html[at : closing.start() if closing else len(html)]
+                    self.handle_data(unescape(inner))
+                    self.handle_endtag(tag)
+                    at += len(inner)
+        self.handle_data(unescape(html[at:]))
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                node = self.stack[-1]
-                while self.tags[node] not in BLOCK and node:
-                    node = self.parents[node]
+                node = self.stack[self.blocks_at[-1]]
                 self.blocks.append((node, text, min(1.0, self.link_chars / len(text))))
             self.parts = []
         self.link_chars = 0
@@ -116,20 +172,20 @@ class Page(HTMLParser):
                 self.parts.append(" ")
             return
         if tag in BLOCK:
-            self.close_open("p", BARRIERS)
+            self.close_open("p", self.blocks_at[-1])
             for same in SAME.get(tag, (tag,) if tag in CLOSES else ()):
-                self.close_open(same, CLOSES[tag])
+                self.close_open(same, max((self.open_at[u][-1] for u in CLOSES[tag] if self.open_at[u]), default=0))
             self.flush()
         elif tag == "a":
-            self.close_open("a", BLOCK)
+            self.close_open("a", self.blocks_at[-1])
         self.push(tag, attrs)
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-
     def push(self, tag: str, attrs: list) -> None:
         self.tags.append(tag)
         self.parents.append(self.stack[-1])
+        self.open_at[tag].append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks_at.append(len(self.stack))
         self.stack.append(len(self.tags) - 1)
         depth = len(self.stack)
         if tag == "a":
@@ -139,11 +195,16 @@ class Page(HTMLParser):
         if self.articles and tag == "header":
             self.header_at.append(depth)  # of an article: only its headings stay
             return
-        if left_out(tag, attrs):
+        if tag in LEFT_OUT:
+            self.out_at.append(depth)
+            return
+        beside = stands_beside(tag, attrs)
+        if beside and not self.lenient:
+            self.cut = True
             self.out_at.append(depth)
             return
         node = self.stack[-1]
-        word = suspect_word(tag, attrs)
+        word = suspect_word(tag, attrs) or ("part" if beside or tag in FORMS else "")
         if tag in ("article", "main"):
             if not word:
                 self.plain.append(node)
@@ -163,7 +224,9 @@ class Page(HTMLParser):
         tag = self.tags[self.stack[-1]]
         if tag in BLOCK:
             self.flush()
+            self.blocks_at.pop()
         self.stack.pop()
+        self.open_at[tag].pop()
         if tag == "a":
             self.links -= 1
         if self.out_at and self.out_at[-1] == depth:
@@ -177,30 +240,19 @@ class Page(HTMLParser):
             elif tag in HEADINGS:
                 self.headings -= 1
 
-    def close_open(self, tag: str, until: Collection[str]) -> None:
-        """Close the innermost open ``tag``, unless an element of ``until`` lies inside it."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            name = self.tags[self.stack[i]]
-            if name == tag:
-                while len(self.stack) > i:
-                    self.pop()
-                return
-            if name in until:
-                return
+    def close_open(self, tag: str, barrier: int) -> None:
+        """Close the innermost open ``tag`` unless it lies below ``barrier`` in the stack."""
+        if self.open_at[tag] and self.open_at[tag][-1] >= max(1, barrier):
+            at = self.open_at[tag][-1]
+            while len(self.stack) > at:
+                self.pop()
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in VOID:
-            if tag == "br":
-                self.parts.append(" ")
-            return
-        for i in range(len(self.stack) - 1, 0, -1):
-            name = self.tags[self.stack[i]]
-            if name == tag:
-                while len(self.stack) > i:
-                    self.pop()
-                return
-            if tag not in BLOCK and name in BLOCK:
-                return  # an inline end tag closes nothing across a block
+        if tag == "br":
+            self.parts.append(" ")
+        elif tag not in VOID:
+            # The end tag of an element within a line closes nothing across a block.
+            self.close_open(tag, 0 if tag in BLOCK else self.blocks_at[-1])
 
     def handle_data(self, data: str) -> None:
         if self.out_at or (self.header_at and not self.headings):
@@ -210,9 +262,35 @@ class Page(HTMLParser):
             self.link_chars += len(data.strip())
 
 
-def left_out(tag: str, attrs: list) -> bool:
-    """Whether an element is never article text."""
-    if tag in LEFT_OUT or tag == "header":
+def read_attributes(html: str, at: int, last: dict[str, int]) -> tuple[list, int]:
+    """Attributes of a tag and where it ends, -1 for nowhere.
+
+    ``last`` has the last places of quotes, so that a quote without an end is known at once; its
+    value ends like one without quotes.
+    """
+    attrs: dict[str, str | None] = {}
+    while found := IN_TAG.match(html, at):
+        at = found.end()
+        end, name, given = found.groups()
+        if end:
+            return list(attrs.items()), at
+        value = None
+        if given:
+            quote = html[at : at + 1]
+            if quote in ("'", '"') and last[quote] > at:
+                closed = html.index(quote, at + 1)
+                value, at = html[at + 1 : closed], closed + 1
+            else:
+                value = UNQUOTED.match(html, at).group()
+                at += len(value)
+            value = unescape(value)
+        attrs.setdefault(name.lower(), value)
+    return [], -1
+
+
+def stands_beside(tag: str, attrs: list) -> bool:
+    """Whether an element is no article by its tag, its role, or because it is hidden."""
+    if tag in ASIDE:
         return True
     for name, value in attrs:
         if name == "hidden":
@@ -255,11 +333,13 @@ def main_text(html: str | None) -> str:
     """Article text of a page: blocks joined by an empty line; empty for null or no text."""
     if not html:
         return ""
-    page = Page()
-    page.feed(html)
-    page.close()
-    page.flush()
-    return "\n\n".join(select(page))
+    page = Page(html)
+    found = select(page)
+    if not found and page.cut:
+        page = Page(html, lenient=True)
+        if any(gained_points(text, linked) for _, text, linked in page.blocks):
+            found = select(page)
+    return "\n\n".join(found)
 
 
 def gained_points(text: str, linked: float) -> float:
@@ -346,23 +426,48 @@ def without_suspects(page: Page) -> list[tuple[int, str, float]]:
     return [block for block in page.blocks if not state[block[0]]]
 
 
+def lists_said_before(
+    tags: list[str], parents: list[int], blocks: list[tuple[int, str, float]]
+) -> dict[int, tuple[str, str]]:
+    """For every list the tag and the text of the block that is next to it before it begins."""
+    found = {node: ("", "") for node, tag in enumerate(tags) if tag in LISTS}
+    previous = [0] * len(tags)  # the element before one in the same parent
+    last_child = [0] * len(tags)
+    for node in range(1, len(tags)):
+        previous[node], last_child[parents[node]] = last_child[parents[node]], node
+    last_text: dict[int, str] = {node: text for node, text, _ in blocks}
+    for node in found:
+        if previous[node] in last_text:
+            found[node] = (tags[previous[node]], last_text[previous[node]])
+    return found
+
+
+def announced(said: tuple[str, str]) -> bool:
+    """Whether a list of links belongs to a text: its heading says so, or a colon before it."""
+    tag, text = said
+    return text.endswith(":") or (tag in HEADINGS and not WORDS.intersection(words_of(text)))
+
+
 def select(page: Page) -> list[str]:
     tags, parents, blocks = page.tags, page.parents, without_suspects(page)
     points = [0.0] * len(tags)
     chars = [0] * len(tags)
     link_chars = [0.0] * len(tags)
     n_links = [0] * len(tags)
+    around = [-1] * len(tags)  # innermost element that can be the article
+    said_before = lists_said_before(tags, parents, blocks)
+    for node, tag in enumerate(tags):
+        around[node] = node if tag in CONTAINERS else around[parents[node]] if node else -1
     for node, text, linked in blocks:
         gained = gained_points(text, linked)
         chars[node] += len(text)
         link_chars[node] += linked * len(text)
         n_links[node] += linked > 0.5
-        level, at = 0, node
+        level, at = 0, around[node]
         while gained and at >= 0 and level < LEVELS:
-            if tags[at] in CONTAINERS:
-                level += 1
-                points[at] += gained / (1 if level == 1 else 2 if level == 2 else 3 * (level - 1))
-            at = parents[at]
+            level += 1
+            points[at] += gained / (1 if level == 1 else 2 if level == 2 else 3 * (level - 1))
+            at = around[parents[at]] if at else -1
     for node in range(len(tags) - 1, 0, -1):  # children come after their parents
         chars[parents[node]] += chars[node]
         link_chars[parents[node]] += link_chars[node]
@@ -393,6 +498,9 @@ def select(page: Page) -> list[str]:
             tag in LISTS
             and n_links[node] >= 3
             and link_chars[node] >= MENU_LINKS * chars[node]
+            # An article may have a list of links, and a heading or a colon announce one.
+            and tags[best] not in ("article", "main")
+            and not announced(said_before[node])
         )
         inside[node] = node in accepted or (node > 0 and inside[parents[node]] and not menu)
     return [text for node, text, _ in blocks if inside[node]]
@@ -401,7 +509,7 @@ def select(page: Page) -> list[str]:
 def extract(
     pages: DataFrame, html_col: str = "html", carry: list[str] | None = None
 ) -> DataFrame:
-    """Rows (row, main_text) from whole pages.
+    """Rows (row, main_text) from whole pages, well-formed or not.
 
     Null or empty html, and pages without text, give the empty string. Repeated rows are
     extracted alike. ``row`` holds the columns of ``carry`` (all for None) whatever their
