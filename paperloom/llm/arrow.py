@@ -39,11 +39,13 @@ def map_texts(
     carry: list[str] | None,
     fields: list[StructField],
     prepare: Callable[[], Callable[[list], list[pa.Array]]],
+    most: int = PIECE_BYTES,
 ) -> DataFrame:
     """Rows (row struct of ``carry``, then ``fields``) computed from whole texts.
 
     ``prepare`` runs once per task and returns the function from a list of texts (str or
-    None) to one Arrow array per field. ``carry`` None keeps all columns.
+    None) to one Arrow array per field; it sees about ``most`` bytes at once. ``carry`` None
+    keeps all columns.
     """
     columns = docs.columns if carry is None else carry
     packed = docs.select(
@@ -56,7 +58,7 @@ def map_texts(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", most):
                 work = work or prepare()
                 made = work(piece.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([piece.column("row"), *made], names)

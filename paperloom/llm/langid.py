@@ -7,6 +7,7 @@ each n-gram of a batch of texts, one row of the matrix and sums the rows of each
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -22,17 +23,32 @@ BUCKETS = 1 << 15
 SIZES = (1, 2, 3)  # lengths of the n-grams in characters
 UNDETERMINED = "und"
 MAX_LANGUAGES = 1_000  # the matrix is broadcast, so its size is bounded
+TEXT_BYTES = 1 << 20  # text whose n-grams are held at once, unless a single text is larger
 ROWS_AT_ONCE = 1 << 22  # numbers of the matrix gathered at once
 COUNTS = "lang string, bucket int, n bigint"
 
 
+NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
 @dataclass(frozen=True)
 class Model:
-    """Languages in order, their log priors, and log probabilities (buckets x languages)."""
+    """Languages in order, their log priors, and log probabilities (buckets x languages).
+
+    With ``letters_only`` every run of other characters of a text counts as one space.
+    """
 
     langs: tuple[str, ...]
     prior: np.ndarray
     log_prob: np.ndarray
+    letters_only: bool = False
+
+    def prepared(self, texts: list[str]) -> list[str]:
+        return [only_letters(t) for t in texts] if self.letters_only else texts
+
+
+def only_letters(text: str) -> str:
+    return NO_LETTERS.sub(" ", text).strip()
 
 
 def ngram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +85,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
+    letters_only: bool = False,
 ) -> Model | None:
     """Fit on about ``docs_per_lang`` whole documents of each language, chosen by hash of the id.
 
@@ -89,18 +106,18 @@ def train(
     if not sizes:
         return None
     # A share of each language's key space gives the wanted number of documents on average.
-    share = F.lit(0.0)
-    for row in sizes:
-        share = F.when(F.col("lang") == row["lang"], min(1.0, docs_per_lang / row["count"])).otherwise(share)
+    shares = [(row["lang"], min(1.0, docs_per_lang / row["count"])) for row in sizes]
+    share = F.create_map(*[F.lit(x) for pair in shares for x in pair])[F.col("lang")]
     place = F.shiftrightunsigned("key", 33) / F.lit(float(1 << 31))
     sample = labelled.where(place < share).select("lang", "text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", TEXT_BYTES):
                 langs = piece.column("lang").to_pylist()
-                buckets, lengths = ngram_buckets(piece.column("text").to_pylist())
+                texts = piece.column("text").to_pylist()
+                buckets, lengths = ngram_buckets([only_letters(t) for t in texts] if letters_only else texts)
                 ends = np.cumsum(lengths)
                 for lang, start, end in zip(langs, ends - lengths, ends):
                     total = found.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
@@ -125,13 +142,13 @@ def train(
     columns = np.array([place_of[x] for x in rows.column("lang").to_pylist()], dtype=np.int64)
     counts[rows.column("bucket").to_numpy(), columns] += rows.column("n").to_numpy()
     log_prob = np.log(counts) - np.log(counts.sum(axis=0))
-    return Model(tuple(langs), np.full(len(langs), -np.log(len(langs))), log_prob)
+    return Model(tuple(langs), np.full(len(langs), -np.log(len(langs))), log_prob, letters_only)
 
 
-def score_texts(model: Model, texts: list[str]) -> np.ndarray:
-    """Posterior probability of each language for each text, (texts x languages)."""
-    buckets, lengths = ngram_buckets(texts)
-    total = np.tile(model.prior, (len(texts), 1))
+def log_scores(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihood of each text in each language (texts x languages), and its n-grams' number."""
+    buckets, lengths = ngram_buckets(model.prepared(texts))
+    total = np.zeros((len(texts), len(model.langs)))
     owner = np.repeat(np.arange(len(texts)), lengths)
     step = max(1, ROWS_AT_ONCE // len(model.langs))
     for start in range(0, len(buckets), step):
@@ -139,6 +156,16 @@ def score_texts(model: Model, texts: list[str]) -> np.ndarray:
         rows = model.log_prob[buckets[start : start + step]]
         first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         total[part[first]] += np.add.reduceat(rows, first, axis=0)
+    return total, lengths
+
+
+def score_texts(model: Model, texts: list[str]) -> np.ndarray:
+    """Posterior probability of each language for each text, (texts x languages)."""
+    return posterior(model, log_scores(model, texts)[0])
+
+
+def posterior(model: Model, logs: np.ndarray) -> np.ndarray:
+    total = logs + model.prior
     total -= total.max(axis=1, keepdims=True)
     likely = np.exp(total)
     return likely / likely.sum(axis=1, keepdims=True)
@@ -150,7 +177,12 @@ def predict(
     text_col: str = "text",
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """Rows (row, lang_pred, score) over whole texts; score is the posterior of the prediction.
+    """Rows (row, lang_pred, score, fit) over whole texts; score is the posterior of the prediction.
+
+    The posterior says which language is likeliest, not whether the text is in it: it is near 1
+    for any long text. ``fit`` is the text's mean log probability per n-gram in the predicted
+    language, less what that language's own texts have on average, and does not depend on the
+    length: near 0 for texts of the language, far below for others. It is null for ``und``.
 
     Null texts, texts without a letter, and every text where there is no model are ``und``
     with score 0. Ties go to the first language in order. ``row`` holds the columns of
@@ -160,22 +192,28 @@ def predict(
     fields = [
         StructField("lang_pred", StringType(), False),
         StructField("score", DoubleType(), False),
+        StructField("fit", DoubleType(), True),
     ]
 
     def prepare():
         known = sent.value
+        if known is not None:
+            entropy = -(np.exp(known.log_prob) * known.log_prob).sum(axis=0)
 
         def work(texts: list) -> list[pa.Array]:
             pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            fit = np.full(len(texts), np.nan)
             at = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
             if known is not None and at:
-                likely = score_texts(known, [texts[i] for i in at])
+                logs, lengths = log_scores(known, [texts[i] for i in at])
+                likely = posterior(known, logs)
                 best = likely.argmax(axis=1)
                 score[at] = likely[np.arange(len(at)), best]
+                fit[at] = logs[np.arange(len(at)), best] / lengths + entropy[best]
                 for i, b in zip(at, best):
                     pred[i] = known.langs[b]
-            return [pa.array(pred, pa.string()), pa.array(score)]
+            return [pa.array(pred, pa.string()), pa.array(score), pa.array(fit, mask=np.isnan(fit))]
 
         return work
 
-    return map_texts(docs, text_col, carry, fields, prepare)
+    return map_texts(docs, text_col, carry, fields, prepare, TEXT_BYTES)

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -64,3 +66,31 @@ def test_nothing_to_learn(documents):
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)] * 2
     assert predict(documents([]), None).count() == 0
     assert train(documents([]), usable=F.lit(True)) is None
+
+
+def test_counts_of_training_are_those_of_the_texts(documents):
+    """The model's matrix from n-grams spelled out one by one."""
+    rows = training()
+    model = train(documents(rows), usable=F.lit(True), letters_only=True)
+    for k, lang in enumerate(model.langs):
+        counts = np.full(model.log_prob.shape[0], 0.5)
+        for _, text, of, _ in rows:
+            if of == lang:
+                counts += np.bincount(ngram_buckets([text])[0], minlength=len(counts))
+        assert np.allclose(model.log_prob[:, k], np.log(counts / counts.sum()))
+
+
+def test_fit_tells_what_is_in_no_learned_language(documents):
+    rng = random.Random(5)
+    junk = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)) for _ in range(20)]
+    other = ["mies lukee kirjaa ja koira juoksee talon ympäri " * 4, "pies i kot biegną szybko przez zielony las " * 4]
+    learned = [(i, f"{text} " * 30, lang, s) for i, text, lang, s in training()]
+    rows = learned + [(500 + i, t, None, "s") for i, t in enumerate(junk + other)]
+    rows += [(900, "the quick dog 12 +49 30 $$$ jumps over the end of the day", None, "s")]
+    docs = documents(rows)
+    model = train(docs, usable=F.col("lang").isNotNull(), letters_only=True)
+    got = {r["doc_id"]: r for r in predict(docs, model).select("row.doc_id", "score", "fit").collect()}
+    known = [got[r[0]]["fit"] for r in learned] + [got[900]["fit"]]
+    strange = [got[500 + i]["fit"] for i in range(len(junk + other))]
+    assert min(known) > -1.5 > max(strange)
+    assert sum(got[500 + i]["score"] > 0.9 for i in range(len(junk))) > 10  # the posterior does not tell
