@@ -27,16 +27,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.arrow import pieces
-from paperloom.llm.shared import components, release_shuffles
+from paperloom.llm.shared import components
 from paperloom.session import written
 
 BAND = 1.35  # largest size of a band over its smallest
 THIRDS = 3
 MANY_PARTS = 48
-SKETCH_CELLS = 4  # least number of cells per shingle
+SKETCH_CELLS = 2  # least number of cells per shingle
 TILE_ROWS = 1_024
 WORDS_AT_ONCE = 1 << 20  # 64-bit words of sketches compared at once
-SMALL_BUCKET = 16  # sets of a bucket whose pairs are listed
+SMALL_BUCKET = 16  # sets of the largest bucket that is compared together with others
 FIRST_BUCKETS = 4  # buckets in which a set looks for its nearest neighbour
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9  # odd multipliers
 
@@ -81,15 +81,6 @@ class Similarity:
     def holds(self, common: int, a: int, b: int) -> bool:
         return self.den * common >= self.num * (a + b - common)
 
-    def may_hold(self, a: int, b: int, sketch_a: bytes, sketch_b: bytes) -> bool:
-        """False only if sets of these sizes and sketches cannot be similar."""
-        if self.den * min(a, b) < self.num * max(a, b):
-            return False
-        x, y = (np.frombuffer(s, dtype="<u8") for s in (sketch_a, sketch_b))
-        width = min(len(x), len(y))
-        x, y = (np.bitwise_xor.reduce(w.reshape(-1, width), axis=0) for w in (x, y))
-        return int(np.bitwise_count(x ^ y).sum()) <= self.difference(a, b)
-
     def difference(self, a: int, b: int) -> int:
         """Most shingles that similar sets of sizes up to a and b have apart."""
         return (self.den - self.num) * (a + b) // (self.den + self.num)
@@ -306,16 +297,13 @@ def join_documents(
         "nodes",
     )
     met = _meetings(signature_rows(texts, width, least))
-    release_shuffles(docs.sparkSession)
     candidates = _candidate_sets(met.select("print").distinct(), nodes, texts, width)
-    release_shuffles(docs.sparkSession)
     nearest = _nearest(met, nodes, least)
     linked = written(_verified(nearest, nodes, candidates, least), "linked")
     # Once more for what is still apart, then all that is left.
     apart = _apart(met, _labels(nodes, linked), least, nearest=True)
     second = written(_verified(apart, nodes, candidates, least), "linked")
     linked = linked.unionByName(second)
-    release_shuffles(docs.sparkSession)
     rest = _apart(met, _labels(nodes, linked), least, nearest=False)
     more = _verified(rest, nodes, candidates, least)
     same_id = _repeated_ids(full, nodes)
@@ -349,16 +337,46 @@ def _meetings(rows: DataFrame) -> DataFrame:
     return written(met.where(other & ~again).select("signature", "print"), "meetings")
 
 
-def _tiles(rows: DataFrame) -> DataFrame:
-    """Rows of buckets dealt into tiles; tile i meets tile j of its bucket once, for i <= j."""
+def _ring(rows: DataFrame) -> DataFrame:
+    """Rows of buckets dealt into tiles; every tile meets itself and the next one, in a ring.
+
+    For a search of near neighbours: sets that are all alike meet one another over the ring, and
+    a row has three copies at most, however large its bucket is.
+    """
     n = F.count("*").over(Window.partitionBy("signature"))
     counted = rows.withColumn("n_tiles", F.ceil(n / TILE_ROWS).cast("int"))
-    own = F.pmod(F.xxhash64("print"), F.col("n_tiles")).cast("int")
-    dealt = counted.withColumn("own", own).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)).alias("other")
+    dealt = counted.withColumn("own", F.pmod(F.xxhash64("print"), F.col("n_tiles")).cast("int"))
+    others = [F.pmod(F.col("own") + step, F.col("n_tiles")) for step in (-1, 0, 1)]
+    met = dealt.withColumn("other", F.explode(F.array_distinct(F.array(*others))))
+    return _with_pair(met, rows.columns)
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows (with n, n_main, main) of buckets dealt into tiles, so that all pairs of different
+    components meet once.
+
+    The tiles of the largest component ``main`` of a bucket come last and need not meet each
+    other. So where nearly all of a bucket is one component, its rows have few copies.
+    """
+    rest = F.ceil((F.col("n") - F.col("n_main")) / TILE_ROWS).cast("int")
+    of_main = F.ceil(F.col("n_main") / TILE_ROWS).cast("int")
+    sized = rows.withColumn("rest", rest).withColumn("of_main", of_main)
+    place = F.xxhash64("print")
+    in_main = F.col("component") == F.col("main")
+    own = F.when(in_main, F.col("rest") + F.pmod(place, F.col("of_main"))).otherwise(
+        F.pmod(place, F.col("rest"))
     )
-    return dealt.select(
-        *rows.columns, "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    last = F.col("rest") - 1 + F.when(in_main, 0).otherwise(F.col("of_main"))
+    met = sized.withColumn("own", own.cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), last))
+    )
+    return _with_pair(met, [c for c in rows.columns if c not in ("n", "n_main", "main")])
+
+
+def _with_pair(met: DataFrame, columns: list[str]) -> DataFrame:
+    """With the pair of tiles (i, j), i <= j, that a copy of a row is compared in."""
+    return met.select(
+        *columns, "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
 
 
@@ -377,7 +395,7 @@ def _nearest(met: DataFrame, nodes: DataFrame, least: Similarity) -> DataFrame:
     def nearest(table: pa.Table) -> pa.Table:
         return compare_tile(table, least, across=False, nearest=True)
 
-    found = _tiles(rows).groupBy("signature", "i", "j").applyInArrow(nearest, PAIRS)
+    found = _ring(rows).groupBy("signature", "i", "j").applyInArrow(nearest, PAIRS)
     return _best(found)
 
 
@@ -402,15 +420,15 @@ def _apart(met: DataFrame, united: DataFrame, least: Similarity, nearest: bool)
     labelled = written(
         met.join(united.select("print", "component"), "print"), "labelled"
     )
+    per_component = labelled.groupBy("signature", "component").agg(F.count("*").alias("of"))
     several = (
-        labelled.groupBy("signature")
+        per_component.groupBy("signature")
         .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count("*").alias("n"),
+            F.sum("of").alias("n"),
+            F.max("of").alias("n_main"),
+            F.max_by("component", F.struct("of", "component")).alias("main"),
         )
-        .where("low < high")
-        .select("signature", "n")
+        .where("n_main < n")
     )
     rows = written(labelled.join(several, "signature"), "open-buckets")
     known = united.select("print", "n_shingles", "sketch")
@@ -418,51 +436,102 @@ def _apart(met: DataFrame, united: DataFrame, least: Similarity, nearest: bool)
     def across(table: pa.Table) -> pa.Table:
         return compare_tile(table, least, across=True, nearest=nearest)
 
-    large = rows.where(F.col("n") > SMALL_BUCKET).drop("n").join(known, "print")
-    found = _tiles(large).groupBy("signature", "i", "j").applyInArrow(across, PAIRS)
+    sketched = rows.join(known, "print")
+    large = sketched.where(F.col("n") > SMALL_BUCKET)
     if nearest:
-        return _best(found)
-
-    # Near copies meet in most of their buckets, so pairs of small buckets are listed on
-    # numbers alone and made distinct before any sketch is fetched.
-    listed = (
-        rows.where(F.col("n") <= SMALL_BUCKET)
-        .groupBy("signature")
-        .agg(F.sort_array(F.collect_list(F.struct("print", "component"))).alias("sets"))
-    )
-    pairs = F.flatten(
-        F.transform(
-            "sets",
-            lambda x, i: F.transform(
-                F.filter(
-                    F.slice("sets", F.lit(1), i), lambda y: y["component"] != x["component"]
-                ),
-                lambda y: F.struct(x["print"].alias("a"), y["print"].alias("b")),
-            ),
-        )
-    )
-    small = listed.select(F.inline(pairs)).distinct()
-    for side in "ab":
-        named = [F.col(c).alias(c if c == "print" else f"{c}_{side}") for c in known.columns]
-        small = small.join(
-            known.select(*named).withColumnRenamed("print", side), side
-        )
-
-    def filtered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = ("n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b")
-            keep = [
-                least.may_hold(*r) for r in zip(*(batch.column(c).to_pylist() for c in columns))
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        around = _ring(large.drop("n", "n_main", "main"))
+        return _best(around.groupBy("signature", "i", "j").applyInArrow(across, PAIRS))
+    found = _tiles(large).groupBy("signature", "i", "j").applyInArrow(across, PAIRS)
 
-    of_small = small.select(
-        "a", "b", "n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b"
-    ).mapInArrow(filtered, "a bigint, b bigint")
+    def small(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_buckets(batches):
+            yield compare_small(whole, least)
 
+    # A small bucket is a few rows, so no task gets much of one key.
+    dealt = sketched.where(F.col("n") <= SMALL_BUCKET).drop("n_main", "main").repartition("signature")
+    of_small = dealt.sortWithinPartitions("signature").mapInArrow(small, "a bigint, b bigint")
     return of_small.unionByName(found.select("a", "b")).distinct()
 
 
+def whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by signature in pieces that hold every bucket whole."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        signature = batch.column("signature").to_numpy()
+        if not len(signature):
+            continue
+        last = int(np.searchsorted(signature, signature[-1]))  # the last bucket may go on
+        if last or (held and held[-1].column("signature")[-1].as_py() != signature[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def compare_small(table: pa.Table, least: Similarity) -> pa.RecordBatch:
+    """Distinct pairs (a, b), a > b, of one bucket and different components that may be similar.
+
+    Row by row with the next row, then with the one after it, and so on to the end of the
+    largest bucket, for all buckets of the piece at once.
+    """
+    table = table.combine_chunks()
+    signature, prints, sizes, component = (
+        table[c].to_numpy() for c in ("signature", "print", "n_shingles", "component")
+    )
+    sketches = table["sketch"].combine_chunks()
+    words = np.frombuffer(sketches.buffers()[2] or b"", dtype="<u8")
+    starts = _offsets(sketches)
+    found = [np.empty((2, 0), dtype=np.int64)]
+    for step in range(1, SMALL_BUCKET):
+        left = np.flatnonzero(signature[step:] == signature[:-step])
+        if not len(left):
+            break
+        right = left + step
+        x, y = sizes[left], sizes[right]
+        may = component[left] != component[right]
+        may &= least.den * np.minimum(x, y) >= least.num * np.maximum(x, y)
+        left, right = left[may], right[may]
+        x, y = x[may], y[may]
+        apart = sketch_distances(words, starts, left, right)
+        near = apart <= (least.den - least.num) * (x + y) // (least.den + least.num)
+        ends = np.stack([prints[left[near]], prints[right[near]]])
+        found.append(np.stack([ends.max(axis=0), ends.min(axis=0)]))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
+def _offsets(values: pa.Array) -> np.ndarray:
+    """Where every sketch begins, in words of 64 bits, and where the last one ends."""
+    kind = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+    found = np.frombuffer(values.buffers()[1], dtype=kind)
+    return found[values.offset : values.offset + len(values) + 1] // 8
+
+
+def sketch_distances(
+    words: np.ndarray, starts: np.ndarray, left: np.ndarray, right: np.ndarray
+) -> np.ndarray:
+    """Bits in which the sketches of the rows differ, the larger one folded to the smaller."""
+    out = np.zeros(len(left), dtype=np.int64)
+    widths = np.diff(starts)
+    both = np.stack([widths[left], widths[right]])
+    for pair in np.unique(both, axis=1).T if len(left) else []:
+        rows = np.flatnonzero((both == pair[:, None]).all(axis=0))
+        width = int(pair.min())
+        step = max(1, WORDS_AT_ONCE // int(pair.max()))
+        for start in range(0, len(rows), step):
+            part = rows[start : start + step]
+            folded = [
+                np.bitwise_xor.reduce(
+                    words[starts[side[part]][:, None] + np.arange(n)].reshape(len(part), -1, width),
+                    axis=1,
+                )
+                for side, n in ((left, pair[0]), (right, pair[1]))
+            ]
+            out[part] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def compare_tile(table: pa.Table, least: Similarity, across: bool, nearest: bool) -> pa.Table:
     """Pairs (a, b, distance), a > b, of tiles i and j whose sketches may be similar.
 

@@ -11,15 +11,6 @@ from paperloom.session import forget, written
 SPACE = r"\x20\x09-\x0D"
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let executors drop the files of shuffles that nothing refers to any more.
-
-    Spark deletes them when the driver's JVM collects the objects that stand for them, which
-    a small heap may put off until long after a large shuffle.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def ascii_lower(text: Column) -> Column:
     """A to Z in lower case, every other character as it is."""
     pure = F.octet_length(text) == F.char_length(text)

@@ -1,9 +1,19 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from paperloom.llm import jaccard_join
-from paperloom.llm.jaccard_join import Similarity, join_documents, shingle_set, signatures
+from paperloom.llm.jaccard_join import (
+    Similarity,
+    compare_small,
+    join_documents,
+    shingle_set,
+    signatures,
+    sketch,
+    whole_buckets,
+)
 
 
 def shingles(text, width):
@@ -112,3 +122,38 @@ def test_similar_sets_share_a_signature(n):
         assert len(one) == len(a) and len(two) == len(b)
         if a != b:
             assert set(signatures(one, least).tolist()) & set(signatures(two, least).tolist())
+
+
+def test_small_buckets_compared_like_pair_by_pair():
+    rng = np.random.default_rng(4)
+    least = Similarity(4, 5)
+    rows, number = [], 0
+    for signature in range(60):
+        base = rng.integers(0, 1 << 62, rng.integers(20, 300)).astype(np.uint64)
+        for _ in range(rng.integers(2, jaccard_join.SMALL_BUCKET + 1)):
+            number += 1
+            kept = base[rng.random(len(base)) > rng.choice([0.0, 0.05, 0.4])]
+            own = rng.integers(0, 1 << 62, rng.integers(1, 20)).astype(np.uint64)
+            elements = np.unique(np.concatenate([kept, own]))
+            rows.append((signature, number * 977 % 1009, len(elements), sketch(elements), int(rng.integers(0, 4))))
+    columns = ["signature", "print", "n_shingles", "sketch", "component"]
+    table = pa.table({c: [r[i] for r in rows] for i, c in enumerate(columns)})
+    expected = set()
+    for i, a in enumerate(rows):
+        for b in rows[:i]:
+            if a[0] == b[0] and a[4] != b[4]:
+                x, y = (np.frombuffer(r[3], dtype="<u8") for r in (a, b))
+                width = min(len(x), len(y))
+                x, y = (np.bitwise_xor.reduce(w.reshape(-1, width), axis=0) for w in (x, y))
+                near = np.bitwise_count(x ^ y).sum() <= least.difference(a[2], b[2])
+                if near and least.den * min(a[2], b[2]) >= least.num * max(a[2], b[2]):
+                    expected.add((max(a[1], b[1]), min(a[1], b[1])))
+    assert expected
+    whole = table.combine_chunks().to_batches()[0]
+    for step in (1, 7, 100_000):
+        batches = [whole.slice(i, step) for i in range(0, len(rows), step)]
+        found = set()
+        for part in whole_buckets(batches):
+            got = compare_small(part, least)
+            found |= set(zip(got.column("a").to_pylist(), got.column("b").to_pylist()))
+        assert found == expected

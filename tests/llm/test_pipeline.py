@@ -4,6 +4,7 @@ from collections import Counter
 
 import corpus_pipeline as pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_jaccard_join import shingles
 from test_line_dedup import brute as line_brute
 from test_mixing import brute_targets
@@ -25,6 +26,7 @@ def folder(spark, documents, words, tmp_path_factory):
     rows += [(300 + i, rows[i][1] + " tail", "en", "s2") for i in range(10, 20)]  # near copies
     rows += [(400, None, "en", "s0"), (401, "", "en", "s0"), (402, "12 34 !", "en", "s0")]
     rows += [(403, "only words", None, None), (None, words(7, 30), "en", "s0"), rows[30]]
+    rows += [(None, words(7, 30) + " cab", "en", "s1"), (None, rows[41][1], "en", "s0")]
     path = tmp_path_factory.mktemp("sf")
     documents(rows).write.parquet(f"{path}/documents.parquet")
     return str(path)
@@ -47,9 +49,10 @@ def plain(rows, columns=COLUMNS):
     return Counter(tuple(r[c] for c in columns) for r in rows)
 
 
-def test_language_rejects_what_has_no_letter(stages):
-    kept = [r for r in stages[0] if r["text"] and any(map(str.isalpha, r["text"]))]
-    assert plain(stages[1]) == plain(kept) and len(kept) == len(stages[0]) - 3
+def test_language_rejects_what_is_in_no_language(stages):
+    """Texts without a letter, and the one whose letters no learned text has (403)."""
+    kept = [r for r in stages[0] if r["text"] and any(map(str.isalpha, r["text"])) and r["doc_id"] != 403]
+    assert plain(stages[1]) == plain(kept) and len(kept) == len(stages[0]) - 4
 
 
 def test_lines_like_brute_force(stages):
@@ -59,18 +62,25 @@ def test_lines_like_brute_force(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in stages[2])
 
 
-def test_one_document_of_each_group_stays(stages):
-    rows = sorted(stages[2], key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
+def test_one_document_of_each_group_stays(spark, stages):
+    def text_hash(text):
+        return spark.range(1).select(F.shiftrightunsigned(F.xxhash64(F.lit(text)), 2)).first()[0]
+
+    rows = sorted(
+        stages[2], key=lambda r: (1, text_hash(r["text"])) if r["doc_id"] is None else (0, r["doc_id"])
+    )
     sets = [shingles(r["text"], 5) for r in rows]
     group = list(range(len(rows)))
     for x in range(len(rows)):
         for y in range(x):
             both = len(sets[x] & sets[y])
-            if rows[x]["doc_id"] is not None and 5 * both >= 4 * (len(sets[x]) + len(sets[y]) - both) > 0:
+            if 5 * both >= 4 * (len(sets[x]) + len(sets[y]) - both) > 0:
                 low, high = sorted((group[x], group[y]))
                 group = [low if g == high else g for g in group]
     kept = [rows[i] for i in sorted(set(group))]
     assert plain(stages[3]) == plain(kept) and len(kept) < len(rows) - 10
+    assert sum(r["doc_id"] is None for r in stages[2]) == 3
+    assert sum(r["doc_id"] is None for r in stages[3]) == 1
 
 
 def test_mixture_comes_near_its_targets(stages):
@@ -112,3 +122,9 @@ def test_run_and_empty_table(spark, documents, stages, folder, tmp_path):
     )
     documents([]).write.parquet(f"{tmp_path}/documents.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_largest_ids_leave_no_room_for_documents_without_one(spark, documents, words):
+    rows = [(2**63 - 1, words(1, 40), "en", "s"), (None, words(1, 40), "en", "s"), (None, words(2, 40), "en", "s")]
+    kept = pipeline.near_duplicates(spark, documents(rows), "").collect()
+    assert sorted((r["doc_id"] is None for r in kept)) == [False, True, True]
