@@ -6,8 +6,9 @@ sources to their target weights, and BPE coding turns the texts into token ids.
 
 All stages but the last return the columns of ``documents``, other columns included. Null and
 empty texts are rejected by the first stage; a later stage given such rows keeps them. Empty
-tables give empty results. Null ids keep their rows apart in the Jaccard join. Repeated rows
-are one document to the Jaccard join; mixing gives equal rows one number of copies.
+tables give empty results. A document without an id is a document of its own, which its copies
+meet like any other. Repeated rows are one document to the Jaccard join; mixing gives equal rows
+one number of copies.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from paperloom.llm.shared import SPACE
 from paperloom.session import written
 
 MIN_SCORE = 0.5  # least posterior of a document's language
+MIN_FIT = -1.5  # least log probability per n-gram against that of the language's own texts
 REPEATED_IN = 10  # documents a line occurs in before it counts as repeated
 SIMILARITY = (4, 5)
 SHINGLE = 5
@@ -39,11 +41,15 @@ def _unpacked(rows: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents with a language: letters, and a posterior of ``MIN_SCORE`` or more."""
-    model = langid.train(docs, usable=~held_out_column(F.col("doc_id")))
+    """Keep the documents with a language: letters, a likeliest language, and a fit to it.
+
+    Texts of random letters or of a language that was not learned have a likeliest language too,
+    but their n-grams are far from it. Digits and marks do not count.
+    """
+    model = langid.train(docs, usable=~held_out_column(F.col("doc_id")), letters_only=True)
     found = langid.predict(docs, model)
     certain = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE)
-    return _unpacked(found.where(certain))
+    return _unpacked(found.where(certain & (F.col("fit") >= MIN_FIT)))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,32 +71,37 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates, the one with the smallest id.
 
-    Documents without words and without an id are no near duplicates and stay.
+    Rows that repeat id and text are one document. Documents without an id come after all that
+    have one, in the order of a hash of their text. Documents without words stay row by row.
     """
-    found = jaccard_join.join_documents(docs, similarity=SIMILARITY, width=SHINGLE)
-    in_group = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    text_hash = F.xxhash64("text")
+    keyed = docs.select(
+        _packed(docs), text_hash.alias("text_hash"), F.col("doc_id").alias("own_id"), F.col("text")
+    )
+    # A document without an id gets one beyond all others, so it meets its copies too. Where the
+    # ids leave no room for that it keeps none, and stays.
+    last = docs.agg(F.greatest(F.max("doc_id"), F.lit(0)).cast("bigint")).first()[0]
+    beyond = F.try_add(F.lit(last).cast("bigint"), F.shiftrightunsigned("text_hash", 2) + 1)
+    numbered = keyed.withColumn("node", F.coalesce("own_id", beyond))
+    found = jaccard_join.join_documents(
+        numbered.select("node", "text"), similarity=SIMILARITY, width=SHINGLE, id_col="node"
+    )
     first = (
-        found.where(in_group & (F.col("component_id") == F.col("doc_id")))
+        found.where((F.col("n_shingles") > 0) & (F.col("component_id") == F.col("doc_id")))
         .groupBy("doc_id")
-        .agg(F.min("text_hash").alias("text_hash"))
+        .agg(F.min("text_hash").alias("hash"))
         .withColumn("alone", F.lit(False))
     )
-    alone = (
-        found.where(~in_group).select("doc_id", "text_hash").distinct().withColumn("alone", F.lit(True))
-    )
-    stays = first.unionByName(alone).select(
-        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "alone"
-    )
-    rows = docs.select(
-        _packed(docs), F.xxhash64("text").alias("text_hash"), F.col("doc_id").alias("own_id")
-    )
-    kept = rows.join(
-        stays, (F.col("text_hash") == F.col("hash")) & F.col("own_id").eqNullSafe(F.col("id"))
+    alone = found.where("n_shingles = 0 OR doc_id IS NULL").select(
+        "doc_id", F.col("text_hash").alias("hash"), F.lit(True).alias("alone")
     )
-    # Rows that repeat a kept document are the same document; the others stay row by row.
+    stays = first.unionByName(alone.distinct()).withColumnRenamed("doc_id", "id")
+    same = (F.col("text_hash") == F.col("hash")) & F.col("node").eqNullSafe(F.col("id"))
+    kept = numbered.join(stays, same)
+    # Rows that repeat a kept document are the same document; those without words stay all.
     number = F.when(F.col("alone"), F.monotonically_increasing_id()).otherwise(F.lit(0))
-    numbered = kept.select("row", "text_hash", "own_id", number.alias("number"))
-    return _unpacked(numbered.dropDuplicates(["text_hash", "own_id", "number"]))
+    once = kept.select("row", "text_hash", "node", number.alias("number"))
+    return _unpacked(once.dropDuplicates(["text_hash", "node", "number"]))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
