@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,7 +49,11 @@ def first_seen(
 
 
 def upsert_stream(
-    docs: DataFrame, table: SnapshotTable, checkpoint: str, order: str = "ingest_seq"
+    docs: DataFrame,
+    table: SnapshotTable,
+    checkpoint: str,
+    order: str = "ingest_seq",
+    after_batch: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch into the snapshot table.
 
@@ -56,16 +62,21 @@ def upsert_stream(
 
     Batch n writes version n + 1 from version n. A batch that is run again after a failure
     finds its version complete and does nothing, or rewrites it from the same input. A table
-    therefore belongs to one checkpoint folder.
+    therefore belongs to one checkpoint folder. A stream that was stopped or failed goes on from
+    its checkpoint, and every response is merged exactly once.
+
+    ``after_batch`` is called with the number of a batch once its version is complete, before the
+    stream notes the batch as done; what it raises ends the stream.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
-        if table.has(version):
-            return
-        current = table.read(batch_id) if table.has(batch_id) else table.read()
-        merged = upsert_documents(current, batch, order=order)
-        table.write(merged.select(*current.columns), version)
+        if not table.has(version):
+            current = table.read(batch_id) if table.has(batch_id) else table.read()
+            merged = upsert_documents(current, batch, order=order)
+            table.write(merged.select(*current.columns), version)
+        if after_batch is not None:
+            after_batch(batch_id)
 
     return (
         docs.writeStream.foreachBatch(merge)

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from paperloom import schemas
@@ -97,3 +99,29 @@ def test_result_does_not_depend_on_batches_or_arrival(spark, tmp_path):
     assert run("one", [1, 2, 3, 4], None, True) == expected
     assert run("many", [1, 2, 3, 4], 1, True) == expected
     assert run("late", [4, 2, 3, 1], None, False) == expected
+
+
+def test_a_stream_that_fails_after_a_batch_goes_on_without_repeating_it(spark, tmp_path):
+    landing = tmp_path / "landing"
+    table = SnapshotTable(spark, str(tmp_path / "docs"), schemas.DOCUMENTS)
+    checkpoint = str(tmp_path / "checkpoint")
+    for n in range(3):
+        land(landing, f"{n}.json", n, {"doi": f"d{n}", "title": f"T{n}"}, {"doi": "all", "title": f"A{n}"})
+
+    def fail(batch_id):
+        raise RuntimeError(f"stopped after {batch_id}")
+
+    def run(after_batch=None):
+        docs = document_stream(landed_stream(spark, str(landing), files_per_batch=1), SOURCES["bioRxiv"])
+        upsert_stream(docs, table, checkpoint, after_batch=after_batch).awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="stopped after 0"):
+        run(fail)
+    assert table.latest_version() == 1
+    first = sorted(map(tuple, table.read().collect()), key=repr)
+    done = []
+    run(done.append)
+    assert done == [0, 1, 2] and table.latest_version() == 3
+    assert sorted(map(tuple, table.read(1).collect()), key=repr) == first  # version 1 was not written again
+    titles = {r["external_id"]: r["title"] for r in table.read().collect()}
+    assert titles == {"d0": "T0", "d1": "T1", "d2": "T2", "all": "A2"}
