@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import clean_doi
+from paperloom.operators.spread import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +59,11 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CORPUS_SQL, documents=table(spark, sf_dir, "documents"))
 
 
+def spread_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus for work that is dear per text, on all cores."""
+    return spark.sql(CORPUS_SQL, documents=spread(table(spark, sf_dir, "documents")))
+
+
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as a document table: ids, cleaned DOIs and a state per document."""
     state = F.element_at(

@@ -35,6 +35,7 @@ from paperloom.plans.catalog import (
     corpus,
     corpus_documents,
     query,
+    spread_corpus,
     sql_clean,
     table,
 )
@@ -61,7 +62,7 @@ ALLOWED = tuple(f"src{n}" for n in range(8))
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extracted = extract_all(corpus(spark, sf_dir), "body")
+    extracted = extract_all(spread_corpus(spark, sf_dir), "body")
     return normalize_records(extracted).withColumnRenamed("doc_id", "document_id")
 
 

@@ -14,6 +14,7 @@ from paperloom.functions.patterns import any_of
 from paperloom.functions.text import clean, sections_long
 from paperloom.operators.filters import confident
 from paperloom.operators.fulltext import parse_payloads
+from paperloom.operators.spread import spread
 from paperloom.plans.catalog import (
     SQL_CELLS,
     SQL_EXTRACTED,
@@ -24,6 +25,7 @@ from paperloom.plans.catalog import (
     SQL_ROUTE,
     corpus,
     query,
+    spread_corpus,
     sql_all,
     sql_canonical,
     sql_clean,
@@ -47,12 +49,13 @@ for _name, _char in (("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", "\xa0"), (
 
 @query("clean_text", f"SELECT page_id, {sql_clean('html')} AS cleaned FROM pages")
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", clean(F.col("html")).alias("cleaned"))
+    pages = spread(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", clean(F.col("html")).alias("cleaned"))
 
 
 @query("parse_html", f"SELECT page_id, {sql_clean(SQL_HTML_TEXT)} AS abstract_or_body FROM pages")
 def parse_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         "page_id", plain_text(F.col("html")).alias("abstract_or_body")
     )
 
@@ -73,7 +76,7 @@ GROUP BY doc_id, section
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payloads = corpus(spark, sf_dir).select(
+    payloads = spread_corpus(spark, sf_dir).select(
         "doc_id", F.col("body").alias("abstract"), F.lit(None).cast("string").alias("fulltext")
     )
     return parse_payloads(payloads).select("doc_id", "sections")
@@ -103,7 +106,7 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unique_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = any_of((*ex.DEFAULT_VOCABULARY.cells, "the", "and", "of"))
     hits = F.regexp_extract_all("body", F.lit(pattern), F.lit(0))
-    return corpus(spark, sf_dir).select(
+    return spread_corpus(spark, sf_dir).select(
         "doc_id", F.array_join(unique_ignoring_case(hits), "|").alias("words")
     )
 
@@ -113,7 +116,7 @@ def unique_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT doc_id, array_to_string({sql_all('body', SQL_LIPIDS)}, '|') AS lipids FROM corpus",
 )
 def extract_lipids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select(
+    return spread_corpus(spark, sf_dir).select(
         "doc_id", F.array_join(ex.extract_lipids(F.col("body")), "|").alias("lipids")
     )
 
@@ -146,7 +149,7 @@ def extract_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM corpus",
 )
 def extract_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("doc_id", ex.extract_cells(F.col("body")).alias("cells"))
+    return spread_corpus(spark, sf_dir).select("doc_id", ex.extract_cells(F.col("body")).alias("cells"))
 
 
 @query(
@@ -161,7 +164,7 @@ def ratio_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ex.extract_all(corpus(spark, sf_dir), "body")
+    return ex.extract_all(spread_corpus(spark, sf_dir), "body")
 
 
 @query(
@@ -229,7 +232,7 @@ def canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def normalize_lipids(spark: SparkSession, sf_dir: str) -> DataFrame:
     lipids = norm.normalize_lipids(ex.extract_lipids(F.col("body")))
-    return corpus(spark, sf_dir).select("doc_id", F.array_join(lipids, "|").alias("lipids"))
+    return spread_corpus(spark, sf_dir).select("doc_id", F.array_join(lipids, "|").alias("lipids"))
 
 
 @query("normalize_record", f"SELECT {SQL_COLUMNS} FROM ({SQL_NORMALIZED})")
@@ -294,7 +297,7 @@ FROM ({SQL_TERMS})""",
 )
 def term_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search strings from the terms each document contains."""
-    terms = corpus(spark, sf_dir).select(
+    terms = spread_corpus(spark, sf_dir).select(
         "doc_id",
         ex.extract_lipids(F.col("body")).alias("p"),
         ex.extract_cell_list(F.col("body")).alias("s"),
