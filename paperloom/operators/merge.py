@@ -45,7 +45,7 @@ def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
         }
     )
     values = [*carried, "title", "pipeline_status"]
-    has_key = _has_key(key)
+    keyed_rows = has_key(key)
 
     def position(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.col(order))
@@ -54,7 +54,7 @@ def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
         return F.create_map(*[x for c in values for x in (F.lit(c), of(c))]).alias("value_seq")
 
     keyed = (
-        filled.where(has_key)
+        filled.where(keyed_rows)
         .groupBy(*key)
         .agg(
             *[F.max_by(c, position(c)).alias(c) for c in values],
@@ -62,13 +62,14 @@ def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
             positions(lambda c: F.max(position(c))),
         )
     )
-    unkeyed = filled.where(~has_key).select(
+    unkeyed = filled.where(~keyed_rows).select(
         *key, *values, F.col(order).alias("first_seq"), positions(position)
     )
     return keyed.unionByName(unkeyed)
 
 
-def _has_key(key: list[str]) -> Column:
+def has_key(key: list[str]) -> Column:
+    """Whether a row has all columns of the key."""
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
 
 
@@ -87,28 +88,38 @@ def upsert_documents(
     since rows without a key would all meet in one task.
     """
     key = key or DOCUMENT_KEY
-    carried = [c for c in NULLABLE_COLUMNS if c in current.columns]
     folded = written(fold_updates(batch, key, order), "folded")
+    last_id = current.agg(F.max("document_id")).first()[0] or 0
+    return merge_folded(current, folded, key, last_id)
+
+
+def merge_folded(
+    current: DataFrame, folded: DataFrame, key: list[str], last_id: int
+) -> DataFrame:
+    """``upsert_documents`` after its folding; new ids follow ``last_id``.
+
+    ``current`` may be a part of the snapshot, if it has all rows with the keys of ``folded``.
+    """
+    carried = [c for c in NULLABLE_COLUMNS if c in current.columns]
     for c in carried:
         if c not in folded.columns:
             folded = folded.withColumn(c, F.lit(None).cast(current.schema[c].dataType))
     values = [*carried, "title", "pipeline_status"]
-    has_key = _has_key(key)
+    keyed_rows = has_key(key)
 
-    known = current.where(has_key).select(*key)
+    known = current.where(keyed_rows).select(*key)
     arrivals = (
-        folded.where(has_key)
+        folded.where(keyed_rows)
         .select(*key, "first_seq")
         .join(known, key, "left_anti")
         .select("first_seq")
-        .unionByName(folded.where(~has_key).select("first_seq"))
+        .unionByName(folded.where(~keyed_rows).select("first_seq"))
     )
-    last_id = current.agg(F.max("document_id")).first()[0] or 0
     ids = assign_ids(arrivals, "first_seq", "new_id", last_id + 1)
     fresh = folded.join(ids, "first_seq", "left")
 
     remembers = "value_seq" in current.columns
-    old = current.where(has_key).select(
+    old = current.where(keyed_rows).select(
         *key,
         "document_id",
         *[F.col(c).alias(f"old_{c}") for c in values],
@@ -129,14 +140,14 @@ def upsert_documents(
         ]
     )
     columns = ["document_id", *key, *values, *(["value_seq"] if remembers else [])]
-    merged = old.join(fresh.where(has_key), key, "full").select(
+    merged = old.join(fresh.where(keyed_rows), key, "full").select(
         F.coalesce("document_id", "new_id").alias("document_id"),
         *key,
         *[chosen(c).alias(c) for c in values],
         *([positions.alias("value_seq")] if remembers else []),
     )
-    unkeyed = fresh.where(~has_key).withColumnRenamed("new_id", "document_id")
-    return merged.unionByName(current.where(~has_key).select(*columns)).unionByName(
+    unkeyed = fresh.where(~keyed_rows).withColumnRenamed("new_id", "document_id")
+    return merged.unionByName(current.where(~keyed_rows).select(*columns)).unionByName(
         unkeyed.select(*columns)
     )
 

@@ -40,6 +40,7 @@ from paperloom.plans.catalog import (
     table,
 )
 from paperloom.session import scratch_path, written
+from paperloom.sources.bucketed import BucketedTable
 from paperloom.sources.files import (
     EXPORT_COLUMNS,
     append_runs,
@@ -110,16 +111,16 @@ def source_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(docs, ["source_name"], [F.col("doc_id")], 25)
 
 
-@query(
-    "upsert_merge",
-    """
+# Documents of both phases folded by key; {again} chooses those of the second phase.
+SQL_UPSERTED = """
 , rows AS (
   SELECT doc_id + 1000000000000 * phase AS seq, source_name,
     CASE WHEN doc_id % 13 = 0 THEN NULL ELSE 'k' || (doc_id // 40) END AS external_id,
     regexp_replace(trim(raw_doi), '(?i)^(https?://doi\\.org/|doi:\\s*)', '') AS doi,
     coalesce(nullif(title, ''), 'Untitled') AS title, CASE WHEN phase = 0 THEN text END AS abstract_text,
     CASE WHEN phase = 0 THEN 'LOADED' ELSE 'DISCOVERED' END AS pipeline_status
-  FROM corpus, (SELECT 0 AS phase UNION ALL SELECT 1) p),
+  FROM corpus, (SELECT 0 AS phase UNION ALL SELECT 1) p
+  WHERE {again}),
 merged AS (
   SELECT source_name, external_id, min(seq) AS first_seq, arg_max(doi, seq) FILTER (doi IS NOT NULL) AS doi,
     arg_max(title, seq) AS title,
@@ -130,12 +131,13 @@ merged AS (
   SELECT source_name, external_id, seq, doi, title, abstract_text, pipeline_status
   FROM rows WHERE external_id IS NULL)
 SELECT row_number() OVER (ORDER BY first_seq) AS document_id, source_name, external_id, doi, title,
-  abstract_text, pipeline_status FROM merged""",
-)
-def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents loaded into an empty snapshot, then discovered again without abstracts."""
+  abstract_text, pipeline_status FROM merged"""
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one batch, many of a key and some without."""
     doc_id = F.col("doc_id")
-    batch = corpus(spark, sf_dir).select(
+    return corpus(spark, sf_dir).select(
         "source_name",
         F.when(doc_id % 13 != 0, F.concat(F.lit("k"), F.floor(doc_id / 40))).alias("external_id"),
         clean_doi(F.col("raw_doi")).alias("doi"),
@@ -144,6 +146,12 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("LOADED").alias("pipeline_status"),
         doc_id.alias("ingest_seq"),
     )
+
+
+@query("upsert_merge", SQL_UPSERTED.format(again="true"))
+def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents loaded into an empty snapshot, then discovered again without abstracts."""
+    batch = _loaded(spark, sf_dir)
     empty = spark.createDataFrame(
         [],
         "document_id BIGINT, source_name STRING, external_id STRING, doi STRING, "
@@ -154,6 +162,26 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_documents(first, again)
 
 
+@query("upsert_buckets", SQL_UPSERTED.format(again="phase = 0 OR doc_id % 6 = 5"))
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in a bucketed table, where the failed ones are then discovered again."""
+    batch = _loaded(spark, sf_dir)
+    failed = with_status(corpus_documents(spark, sf_dir), "FAILED").select(
+        F.col("document_id").alias("ingest_seq")
+    )
+    again = (
+        batch.drop("abstract_text", "pipeline_status")
+        .join(failed, "ingest_seq", "left_semi")
+        .withColumn("ingest_seq", F.col("ingest_seq") + 1_000_000_000_000)
+    )
+    documents = BucketedTable(spark, scratch_path(spark, "documents"), schemas.DOCUMENTS, buckets=64)
+    documents.upsert(batch, 1)
+    documents.upsert(again, 2)
+    return documents.read().select(
+        "document_id", "source_name", "external_id", "doi", "title", "abstract_text", "pipeline_status"
+    )
+
+
 @query(
     "source_upsert",
     """

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom import schemas
+from paperloom.operators.merge import upsert_documents
 
 # The columns of an export, in order.
 EXPORT_COLUMNS = [
@@ -181,3 +182,14 @@ class SnapshotTable:
 
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self._folder(version))
+
+    def upsert(self, batch: DataFrame, version: int, order: str = "ingest_seq") -> None:
+        """Write ``version``: the one before it, or else the latest, after the batch.
+
+        A version that is complete stays as it is.
+        """
+        if self.has(version):
+            return
+        current = self.read(version - 1 if self.has(version - 1) else None)
+        merged = upsert_documents(current, batch, order=order)
+        self.write(merged.select(*current.columns), version)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from paperloom import schemas
-from paperloom.operators.merge import upsert_documents
+from paperloom.sources.bucketed import BucketedTable
 from paperloom.sources.files import SnapshotTable
 from paperloom.sources.mappers import Source, map_responses
 
@@ -50,12 +50,12 @@ def first_seen(
 
 def upsert_stream(
     docs: DataFrame,
-    table: SnapshotTable,
+    table: SnapshotTable | BucketedTable,
     checkpoint: str,
     order: str = "ingest_seq",
     after_batch: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Merge each micro-batch into the snapshot table.
+    """Merge each micro-batch into the snapshot table; a bucketed one writes only what changes.
 
     Values are folded by ``order``, which the snapshot remembers per value, so files may be
     cut into batches in any way and may arrive late; only the ids follow the arrival.
@@ -70,11 +70,7 @@ def upsert_stream(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if not table.has(version):
-            current = table.read(batch_id) if table.has(batch_id) else table.read()
-            merged = upsert_documents(current, batch, order=order)
-            table.write(merged.select(*current.columns), version)
+        table.upsert(batch, batch_id + 1, order)
         if after_batch is not None:
             after_batch(batch_id)
 
