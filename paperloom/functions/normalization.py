@@ -25,11 +25,15 @@ def _alias_map(vocab: Vocabulary) -> Column:
     return F.create_map(*pairs)
 
 
+def alias_key(value: Column) -> Column:
+    """The form in which names are compared: trimmed, in lower case, no full stops around it."""
+    return F.btrim(F.lower(strip_space(F.coalesce(value, F.lit("")))), F.lit(" ."))
+
+
 def canonicalize(value: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
     """Canonical name of the trimmed value; the value itself if it has no alias."""
     trimmed = strip_space(F.coalesce(value, F.lit("")))
-    key = F.btrim(F.lower(trimmed), F.lit(" ."))
-    return F.coalesce(F.try_element_at(_alias_map(vocab), key), trimmed)
+    return F.coalesce(F.try_element_at(_alias_map(vocab), alias_key(value)), trimmed)
 
 
 def normalize_lipids(values: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:

@@ -14,6 +14,7 @@ from paperloom.functions.patterns import any_of
 from paperloom.functions.text import clean, sections_long
 from paperloom.operators.filters import confident
 from paperloom.operators.fulltext import parse_payloads
+from paperloom.operators.lookups import canonical_column, extract_fields, vocabulary_table
 from paperloom.operators.spread import spread
 from paperloom.plans.catalog import (
     SQL_CELLS,
@@ -33,6 +34,7 @@ from paperloom.plans.catalog import (
     sql_strip,
     table,
 )
+from paperloom.session import written
 
 # Fixed value: the section headings.
 HEADINGS = "(?i)abstract|introduction|methods?|materials and methods|results|discussion|conclusion"
@@ -225,6 +227,49 @@ def canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL_TITLE_KEY = f"trim(lower({sql_strip('title')}), ' .')"
+
+
+@query(
+    "canonicalize_table",
+    f""", keyed AS (SELECT doc_id, {sql_strip('title')} AS title, {SQL_TITLE_KEY} AS k FROM corpus),
+aliases AS (SELECT k, 'title ' || min(doc_id) AS canonical FROM keyed GROUP BY k HAVING count(*) > 1)
+SELECT doc_id, coalesce(canonical, title) AS title FROM keyed LEFT JOIN aliases USING (k)""",
+)
+def canonicalize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that several documents have, named after the first, by a table of as many aliases."""
+    titles = corpus(spark, sf_dir).select("doc_id", "title")
+    aliases = (
+        titles.groupBy(norm.alias_key(F.col("title")).alias("alias"))
+        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+        .where(F.col("n") > 1)
+        .select("alias", F.concat(F.lit("title "), "first").alias("canonical"))
+    )
+    return canonical_column(titles, "title", written(aliases, "aliases"))
+
+
+@query(
+    "extract_table",
+    f"SELECT doc_id, array_to_string({sql_all('body', SQL_LIPIDS)}, '|') AS lipids, nullif("
+    + sql_strip(f"regexp_extract(body, '{SQL_RATIO}')")
+    + f", '') AS ratio, {sql_first('body', SQL_PAYLOAD)} AS payload, "
+    f"{sql_first('body', SQL_ROUTE)} AS route, "
+    f"array_to_string({sql_all('body', SQL_CELLS)}, '|') AS cells FROM corpus",
+)
+def extract_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields of a vocabulary that is a stored table."""
+    vocabulary = written(vocabulary_table(spark), "vocabulary")
+    found = extract_fields(spread_corpus(spark, sf_dir), "body", vocabulary)
+    return found.select(
+        "doc_id",
+        F.array_join("lipids", "|").alias("lipids"),
+        "ratio",
+        "payload",
+        "route",
+        F.array_join("cells", "|").alias("cells"),
+    )
+
+
 @query(
     "normalize_lipids",
     "SELECT doc_id, array_to_string(canon, '|') AS lipids FROM ("
