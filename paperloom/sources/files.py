@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom import schemas
+from paperloom.functions.exprs import evaluated
 from paperloom.operators.merge import upsert_documents
+from paperloom.session import forget, written
 
 # The columns of an export, in order.
 EXPORT_COLUMNS = [
@@ -29,6 +35,9 @@ EXPORT_COLUMNS = [
     "extraction_confidence",
 ]
 
+# Most bytes of an export that is one JSON array.
+ARRAY_BYTES = 256 << 20
+
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
@@ -43,16 +52,50 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Source registry: files of one JSON array each, or of one JSON object a line."""
-    rows = F.from_json("value", f"array<struct<{schemas.REGISTRY}>>")
-    text = spark.read.text(path, wholetext=True)
-    # An array is one piece of text; lines of objects become an array first.
-    is_array = F.col("value").rlike(r"^\s*\[")
-    objects = F.filter(F.split("value", "\\r?\\n"), lambda line: F.trim(line) != "")
-    listed = F.when(is_array, F.col("value")).otherwise(
-        F.concat(F.lit("["), F.array_join(objects, ","), F.lit("]"))
-    )
-    return text.select(listed.alias("value")).select(F.inline(rows))
+    """Source registry: files of one JSON array each, or of one JSON object a line.
+
+    Lines are read in splits. An array over several lines has to be read by one task. What does
+    not parse costs its own row only, or its array, and comes out of ``rejected_registry``.
+    """
+    parsed = _parsed_registry(spark, path)
+    return parsed.where(~_unreadable(parsed)).drop("_corrupt")
+
+
+def rejected_registry(spark: SparkSession, path: str) -> DataFrame:
+    """Text (``rejected``) of the lines and arrays that ``read_registry`` leaves out."""
+    parsed = _parsed_registry(spark, path)
+    return parsed.where(_unreadable(parsed)).select(F.col("_corrupt").alias("rejected"))
+
+
+def _parsed_registry(spark: SparkSession, path: str) -> DataFrame:
+    schema = f"{schemas.REGISTRY}, _corrupt STRING"
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt")
+    # A line that begins an array and is none by itself: the array goes over several lines.
+    begun = F.col("value").rlike(r"^\s*\[") & F.try_parse_json("value").isNull()
+    text = spark.read.text(path)
+    arrays = text.where(begun).select(F.col("_metadata.file_path").alias("file")).distinct()
+    spread_out = {r["file"] for r in arrays.collect()}
+    by_line = [f for f in text.inputFiles() if _same_place(f) not in map(_same_place, spread_out)]
+    parts = []
+    if by_line:
+        parts.append(reader.json([unquote(f) for f in by_line]))
+    if spread_out:
+        parts.append(reader.option("multiLine", True).json([unquote(f) for f in sorted(spread_out)]))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    # A filter that reaches the parser skips a line before all of it is read.
+    return evaluated(reduce(DataFrame.unionByName, parts))
+
+
+def _same_place(file: str) -> str:
+    """A file's address without the difference between ``file:/x`` and ``file:///x``."""
+    return re.sub(r"^(\w+):/+", r"\1:/", file)
+
+
+def _unreadable(parsed: DataFrame) -> Column:
+    """Whether nothing of a line was read; a single field of another type is only null."""
+    fields = [F.col(c).isNull() for c in parsed.columns if c != "_corrupt"]
+    return reduce(lambda a, b: a & b, fields) & F.col("_corrupt").isNotNull()
 
 
 def write_registry(registry: DataFrame, path: str) -> None:
@@ -73,6 +116,30 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_json_array(
+    df: DataFrame, path: str, order: list[str], max_bytes: int = ARRAY_BYTES
+) -> None:
+    """One file with one JSON array of all rows, in the order of the named columns.
+
+    An array is one value of one task, so this is for small exports: more than ``max_bytes`` of
+    JSON are refused, and ``write_jsonl`` takes them.
+    """
+    text = F.to_json(F.struct(*[f"`{c}`" for c in df.columns]), {"ignoreNullFields": "false"})
+    rows = written(df.select(F.struct(*[f"`{c}`" for c in order]).alias("at"), text.alias("row")), "array")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("row") + 2), F.lit(0))).first()[0]
+    if size > max_bytes:
+        raise ValueError(f"{size} bytes are too many for one JSON array; use write_jsonl")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("at", "row"))), lambda r: r["row"])
+    array = rows.agg(F.concat(F.lit("[\n"), F.array_join(listed, ",\n"), F.lit("\n]")).alias("value"))
+    array.write.mode("overwrite").option("lineSep", "\n").text(path)
+    forget(rows)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of files that are one JSON array each."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; quotes are doubled and line breaks stay inside quotes."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)

@@ -26,6 +26,41 @@ def test_registry_array_file(spark, tmp_path):
     assert files.read_jsonl(spark, str(tmp_path / "next"), schemas.REGISTRY).count() == 2
 
 
+def test_registry_of_all_forms_and_with_broken_lines(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    forms = {
+        "lines.json": '{"source": "A"}\n{"source": "B", "crawl\n\n{"source": "C", "crawled": "maybe"}\n',
+        "array.json": '[{"source": "D"}, {"source": "E"}]\n',
+        "spaced name.json": '[\n  {"source": "F", "tags": [1]},\n  {"source": "G"}\n]\n',
+        "broken.json": '[{"source": "H", "tags": [1]\n, {"source"',
+        "empty.json": "",
+    }
+    for name, text in forms.items():
+        (tmp_path / "r" / name).write_text(text)
+    path = str(tmp_path / "r")
+    assert sorted(r["source"] for r in files.read_registry(spark, path).collect()) == list("ACDEFG")
+    rejected = sorted(r["rejected"] for r in files.rejected_registry(spark, path).collect())
+    assert len(rejected) == 2 and '"H"' in rejected[0] and '"B"' in rejected[1]
+
+
+def test_json_array_of_a_small_export(spark, tmp_path):
+    rows = [(3, "c\n\"x\"", None), (1, None, [1.5]), (2, "é", [])]
+    df = spark.createDataFrame(rows, "id int, `a b` string, xs array<double>").repartition(3)
+    path = str(tmp_path / "out")
+    files.write_json_array(df, path, ["id"])
+    (part,) = (tmp_path / "out").glob("part-*")
+    got = json.loads(part.read_text())
+    assert got == [dict(zip(["id", "a b", "xs"], r)) for r in sorted(rows)]
+    assert sorted(files.read_json_array(spark, path, "id int, `a b` string, xs array<double>").collect()) == sorted(
+        df.collect()
+    )
+    files.write_json_array(df.limit(0), path, ["id"])
+    (part,) = (tmp_path / "out").glob("part-*")
+    assert json.loads(part.read_text()) == []
+    with pytest.raises(ValueError, match="write_jsonl"):
+        files.write_json_array(df, path, ["id"], max_bytes=10)
+
+
 def test_jsonl_skips_blank_lines_and_appends(spark, tmp_path):
     path = tmp_path / "x.jsonl"
     path.write_text('{"a": 1}\n\n  \n{"a": 2, "b": "é"}\n')
