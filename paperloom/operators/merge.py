@@ -179,17 +179,22 @@ def apply_changes(
     """Overwrite columns of the rows named in ``changes``; null means no change.
 
     ``current`` has one row per key. Several changes of a key count in the order of ``order``,
-    a column of ``changes``; without it their order is open, and the largest value of each
-    column counts. Keys that ``current`` lacks are ignored.
+    a column of ``changes``; without it their order is open, and the largest change, compared
+    column by column, counts as a whole. Keys that ``current`` lacks are ignored.
     """
     columns = [c for c in changes.columns if c not in (key, order)]
-    folded = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))) if order else F.max(c)
-        for c in columns
-    ]
-    renamed = changes.groupBy(key).agg(
-        *[value.alias(f"new_{c}") for c, value in zip(columns, folded)]
-    )
+    grouped = changes.groupBy(key)
+    if order:
+        renamed = grouped.agg(
+            *[
+                F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"new_{c}")
+                for c in columns
+            ]
+        )
+    else:
+        renamed = grouped.agg(F.max(F.struct(*columns)).alias("_change")).select(
+            key, *[F.col(f"_change.{c}").alias(f"new_{c}") for c in columns]
+        )
     joined = current.join(renamed, key, "left")
     return joined.select(
         *[

@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from paperloom import schemas
 from paperloom.sources.bucketed import BucketedTable
-from paperloom.sources.files import SnapshotTable
+from paperloom.sources.files import SnapshotTable, path_exists
 from paperloom.sources.mappers import Source, map_responses
 
+ARRIVAL = "_arrival"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def landed_stream(
     spark: SparkSession,
@@ -48,6 +55,64 @@ def first_seen(
     return docs.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def first_seen_stream(
+    docs: DataFrame, keys: list[str], path: str, checkpoint: str, keep: str = "1 hour"
+) -> StreamingQuery:
+    """Write the first document of each key to ``path``, with bounded state and without loss.
+
+    The stream's state holds the keys that arrived within the last ``keep``, in RocksDB. Time is
+    that of arrival, so however old a document is, it is not too late; what must hold is that the
+    clock of a restarted driver is not behind by ``keep`` or more. A key that comes again later
+    passes the state once more and is settled against the keys already written, by an anti join
+    per batch. Documents without a key are alike.
+
+    Batch n is the folder ``batch=n``; one that is run again after a failure is settled against the
+    batches before it only and written anew. ``read_first_seen`` reads what is complete.
+    """
+    spark = docs.sparkSession
+    recent = (
+        docs.withColumn(ARRIVAL, F.current_timestamp())
+        .withWatermark(ARRIVAL, keep)
+        .dropDuplicatesWithinWatermark(keys)
+        .drop(ARRIVAL)
+    )
+
+    def settle(batch: DataFrame, batch_id: int) -> None:
+        earlier = read_first_seen(batch.sparkSession, path, batch.schema).where(
+            F.col("batch") < batch_id
+        )
+        known = earlier.select(*[F.col(k).alias(f"_{n}") for n, k in enumerate(keys)])
+        same = reduce(
+            lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{n}")) for n, k in enumerate(keys)]
+        )
+        fresh = batch.join(known, same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        # A stream keeps the settings that it started with.
+        return (
+            recent.writeStream.foreachBatch(settle)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+def read_first_seen(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Documents written by ``first_seen_stream``, with the number of their batch."""
+    whole = StructType([*schema.fields, StructField("batch", LongType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).option("basePath", path).parquet(path)
+
+
 def upsert_stream(
     docs: DataFrame,
     table: SnapshotTable | BucketedTable,

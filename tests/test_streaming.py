@@ -9,7 +9,14 @@ from paperloom.plans import catalog_linkage
 from paperloom.session import scratch_path
 from paperloom.sources.files import SnapshotTable
 from paperloom.sources.mappers import SOURCES
-from paperloom.streaming.incremental import document_stream, first_seen, landed_stream, upsert_stream
+from paperloom.streaming.incremental import (
+    document_stream,
+    first_seen,
+    first_seen_stream,
+    landed_stream,
+    read_first_seen,
+    upsert_stream,
+)
 
 
 def land(folder, name, seq, *items):
@@ -125,3 +132,34 @@ def test_a_stream_that_fails_after_a_batch_goes_on_without_repeating_it(spark, t
     assert sorted(map(tuple, table.read(1).collect()), key=repr) == first  # version 1 was not written again
     titles = {r["external_id"]: r["title"] for r in table.read().collect()}
     assert titles == {"d0": "T0", "d1": "T1", "d2": "T2", "all": "A2"}
+
+
+@pytest.mark.parametrize("keep", ["1 millisecond", "1 hour"])
+def test_first_seen_with_bounded_state_loses_and_repeats_nothing(spark, tmp_path, keep):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    checkpoint = str(tmp_path / "checkpoint")
+    batches = [(60, ["a", "same"]), (1, ["b", "same", "same"]), (50, ["a", "c"]), (2, ["same", "d"])]
+
+    def run():
+        docs = document_stream(landed_stream(spark, str(landing), files_per_batch=1), SOURCES["bioRxiv"])
+        # Documents without an id are alike.
+        ids = docs.select("source_name", F.when(F.col("external_id") != "d", F.col("external_id")).alias("id"))
+        first_seen_stream(ids, ["source_name", "id"], out, checkpoint, keep).awaitTermination()
+        return sorted(str(r["id"]) for r in read_first_seen(spark, out, ids.schema).collect())
+
+    for n, (seq, ids) in enumerate(batches):
+        land(landing, f"{n}.json", seq, *[{"doi": i} for i in ids])
+    assert run() == ["None", "a", "b", "c", "same"]
+    land(landing, "9.json", 3, {"doi": "a"}, {"doi": "d"}, {"doi": "e"})
+    assert run() == ["None", "a", "b", "c", "e", "same"]
+    assert run() == ["None", "a", "b", "c", "e", "same"]
+
+
+def test_a_batch_of_first_seen_that_is_run_again_is_written_anew(spark, tmp_path):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    land(landing, "0.json", 1, {"doi": "a"}, {"doi": "b"})
+    docs = document_stream(landed_stream(spark, str(landing)), SOURCES["bioRxiv"]).select("external_id")
+    # The batch was written, but the stream did not come to note it as done.
+    spark.createDataFrame([("a",)], docs.schema).write.parquet(f"{out}/batch=0")
+    first_seen_stream(docs, ["external_id"], out, str(tmp_path / "c")).awaitTermination()
+    assert sorted(r[0] for r in read_first_seen(spark, out, docs.schema).collect()) == ["a", "b"]
