@@ -182,7 +182,7 @@ def short(fingerprint: bytes) -> int:
 
 SETS = (
     "doc_id bigint, text_hash bigint, n_shingles bigint, fingerprint binary, print bigint, "
-    "sketch binary, signatures array<bigint>"
+    "sketch binary"
 )
 
 
@@ -195,52 +195,63 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def document_sets(texts: DataFrame, width: int, similarity: Similarity) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, fingerprint, print, sketch, signatures) of every document's
-    set, from one pass over the texts.
+def document_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, fingerprint, print, sketch) of every document's set.
 
-    ``fingerprint`` has 128 bits and tells sets apart; ``print`` is its lower half. Of equal sets
-    that a task sees, one has the signatures and the others have none.
+    ``fingerprint`` has 128 bits and tells sets apart; ``print`` is its lower half.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        seen: set[int] = set()
-        none = np.empty(0, np.uint64)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets = [shingle_set(t, width, known) for t in piece.column("text").to_pylist()]
                 if len(known) > KNOWN_WORDS:
                     known = {}
-                full_prints = [fingerprint(s) for s in sets]
-                prints = [short(p) for p in full_prints]
-                signed = []
-                for elements, own in zip(sets, prints):
-                    fresh = len(elements) and own not in seen
-                    signed.append(signatures(elements, similarity) if fresh else none)
-                    seen.add(own)
-                if len(seen) > KNOWN_SETS:
-                    seen = set()
-                ends = np.cumsum([0, *map(len, signed)]).astype(np.int32)
+                prints = [fingerprint(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
                         piece.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(full_prints, pa.binary()),
-                        pa.array(prints, pa.int64()),
+                        pa.array(prints, pa.binary()),
+                        pa.array([short(p) for p in prints], pa.int64()),
                         pa.array([sketch(s) for s in sets], pa.binary()),
-                        pa.ListArray.from_arrays(ends, np.concatenate([none, *signed]).view(np.int64)),
                     ],
-                    [c.split()[0] for c in SETS.split(", ")],
+                    ["doc_id", "text_hash", "n_shingles", "fingerprint", "print", "sketch"],
                 )
 
     return written(texts.mapInArrow(run, SETS), "sets")
 
 
-def signature_rows(sets: DataFrame) -> DataFrame:
-    """(signature, print) of every set."""
-    return sets.select(F.explode("signatures").alias("signature"), "print")
+def signature_rows(texts: DataFrame, width: int, similarity: Similarity) -> DataFrame:
+    """(signature, print) of every set; a task gives the rows of equal sets once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        seen: set[int] = set()
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                found, prints = [], []
+                for text in piece.column("text").to_pylist():
+                    elements = shingle_set(text, width, known)
+                    own = short(fingerprint(elements))
+                    if len(elements) and own not in seen:
+                        seen.add(own)
+                        found.append(signatures(elements, similarity))
+                        prints.append(own)
+                if len(known) > KNOWN_WORDS:
+                    known = {}
+                if len(seen) > KNOWN_SETS:
+                    seen = set()
+                if found:
+                    owner = np.repeat(np.array(prints, dtype=np.int64), [len(f) for f in found])
+                    flat = np.concatenate(found).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(flat), pa.array(owner)], ["signature", "print"]
+                    )
+
+    return texts.select("text").mapInArrow(run, "signature bigint, print bigint")
 
 
 KNOWN_SETS = 1_000_000  # sets a task remembers to have given the rows of
@@ -265,7 +276,7 @@ def join_documents(
     """
     least = Similarity(*similarity)
     texts = keyed_texts(docs, id_col, text_col)
-    sets = document_sets(texts, width, least)
+    sets = document_sets(texts, width)
     full = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # Equal sets are one node: the smallest document id stands for all.
     nodes = written(
@@ -285,7 +296,7 @@ def join_documents(
         ),
         "nodes",
     )
-    met = _meetings(signature_rows(sets))
+    met = _meetings(signature_rows(texts, width, least))
     candidates = _candidate_sets(met.select("print").distinct(), nodes, texts, width)
     nearest = _nearest(met, nodes, least)
     linked = written(_verified(nearest, nodes, candidates, least), "linked")
