@@ -324,16 +324,19 @@ def join_documents(
 
 
 def _meetings(rows: DataFrame) -> DataFrame:
-    """Rows (signature, print) of buckets with two sets or more, each once."""
+    """Rows (signature, print) of buckets with two sets or more, each once.
+
+    Several tasks may give the same row. Of these the last one stays, since only that one has the
+    next set of the bucket after it.
+    """
     bucket = Window.partitionBy("signature").orderBy("print")
     met = rows.select(
         "*",
         F.first("print").over(bucket).alias("least"),
-        F.lag("print").over(bucket).alias("before"),
         F.lead("print").over(bucket).alias("after"),
     )
-    other = (F.col("least") != F.col("print")) | (F.col("after") != F.col("print"))
-    again = F.col("before").eqNullSafe(F.col("print"))
+    again = F.col("after").eqNullSafe(F.col("print"))
+    other = (F.col("least") != F.col("print")) | F.col("after").isNotNull()
     return written(met.where(other & ~again).select("signature", "print"), "meetings")
 
 

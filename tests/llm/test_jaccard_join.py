@@ -124,6 +124,25 @@ def test_similar_sets_share_a_signature(n):
             assert set(signatures(one, least).tolist()) & set(signatures(two, least).tolist())
 
 
+def test_rows_that_several_tasks_give_meet_others(spark):
+    given = [(1, 5), (1, 5), (1, 7), (2, 5), (2, 5), (3, 5), (3, 7), (3, 7), (4, 9), (5, 1), (5, 2), (5, 2), (5, 3)]
+    rows = spark.createDataFrame(given, "signature bigint, print bigint").repartition(4)
+    met = sorted(map(tuple, jaccard_join._meetings(rows).collect()))
+    assert met == [(1, 5), (1, 7), (3, 5), (3, 7), (5, 1), (5, 2), (5, 3)]
+
+
+def test_copies_in_many_tasks_link_to_near_copies(documents, words):
+    data = []
+    for base in range(40):
+        text = words(base, 90)
+        near = text + " and one more"
+        data += [(10_000 * copy + base, text, "", "") for copy in range(5)]
+        data.append((100_000 + base, near, "", ""))
+    random.Random(3).shuffle(data)
+    got = join_documents(documents(data).repartition(8)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i % 10_000) for i, *_ in data}
+
+
 def test_small_buckets_compared_like_pair_by_pair():
     rng = np.random.default_rng(4)
     least = Similarity(4, 5)
