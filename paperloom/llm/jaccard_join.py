@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.arrow import pieces
 from paperloom.llm.shared import components
+from paperloom.llm.words import NOT_BLANK, word_hash, word_hashes, words_of
 from paperloom.session import written
 
 BAND = 1.35  # largest size of a band over its smallest
@@ -43,13 +44,31 @@ M1, M2, M3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9  # odd m
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A well-spread 64-bit hash of 64-bit integers."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(M1)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(M2)
-    return x ^ (x >> np.uint64(32))
+    y = x >> np.uint64(32)
+    y ^= x
+    y *= np.uint64(M1)
+    y ^= y >> np.uint64(29)
+    y *= np.uint64(M2)
+    y ^= y >> np.uint64(32)
+    return y
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; ``x`` gets sorted."""
+    x.sort()
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def run_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` words, from those of the words."""
+    total = np.full(len(h) - size + 1, size, dtype=np.uint64)
+    for i in range(size):
+        total = mixed(total * np.uint64(M3) + h[i : len(h) - size + 1 + i])
+    return total
 
 
 def shingle_set(text: str | None, width: int, known: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of ``width`` words.
+    """Sorted distinct hashes of the shingles of ``width`` words; ``known`` keeps hashes of words.
 
     Words are what white space (space, 0x09-0x0D) separates, A-Z lower-cased. Fewer words
     than ``width`` are one shingle; no words or null give an empty set.
@@ -57,18 +76,25 @@ def shingle_set(text: str | None, width: int, known: dict[bytes, int]) -> np.nda
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    hashes = []
-    for word in words:
-        h = known.get(word)
-        if h is None:
-            h = known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes.append(h)
-    h = np.array(hashes, dtype=np.uint64)
-    size = min(width, len(h))
-    total = np.full(len(h) - size + 1, size, dtype=np.uint64)
-    for i in range(size):
-        total = mixed(total * np.uint64(M3) + h[i : len(h) - size + 1 + i])
-    return np.unique(total)
+    hashes = [known.get(w) or known.setdefault(w, word_hash(w)) for w in words]
+    return distinct(run_hashes(np.array(hashes, dtype=np.uint64), min(width, len(hashes))))
+
+
+def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """``shingle_set`` of every text of a piece at once."""
+    words = words_of(texts, NOT_BLANK)
+    h = word_hashes(words)
+    runs = run_hashes(h, width) if len(h) >= width else None
+    ends = np.cumsum(words.per_text)
+    found = []
+    for start, end in zip((ends - words.per_text).tolist(), ends.tolist()):
+        if end - start >= width:
+            found.append(distinct(runs[start : end - width + 1]))
+        elif end > start:
+            found.append(run_hashes(h[start:end], end - start))
+        else:
+            found.append(np.empty(0, np.uint64))
+    return found
 
 
 @dataclass(frozen=True)
@@ -134,7 +160,7 @@ def signatures(elements: np.ndarray, similarity: Similarity) -> np.ndarray:
             # Nor there: they share a place without shingles in either partition.
             first = mixed(bare[0] + np.uint64((band << 33) + (2 << 32)))
             out.append(mixed(first[:, None] ^ (bare[1] * np.uint64(M2))[None, :]).reshape(-1))
-    return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
+    return distinct(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
 def part_sums(elements: np.ndarray, parts: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,12 +228,9 @@ def document_sets(texts: DataFrame, width: int) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
             for piece in pieces(batch, "text"):
-                sets = [shingle_set(t, width, known) for t in piece.column("text").to_pylist()]
-                if len(known) > KNOWN_WORDS:
-                    known = {}
+                sets = shingle_sets(piece.column("text"), width)
                 prints = [fingerprint(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -228,20 +251,16 @@ def signature_rows(texts: DataFrame, width: int, similarity: Similarity) -> Data
     """(signature, print) of every set; a task gives the rows of equal sets once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         seen: set[int] = set()
         for batch in batches:
             for piece in pieces(batch, "text"):
                 found, prints = [], []
-                for text in piece.column("text").to_pylist():
-                    elements = shingle_set(text, width, known)
+                for elements in shingle_sets(piece.column("text"), width):
                     own = short(fingerprint(elements))
                     if len(elements) and own not in seen:
                         seen.add(own)
                         found.append(signatures(elements, similarity))
                         prints.append(own)
-                if len(known) > KNOWN_WORDS:
-                    known = {}
                 if len(seen) > KNOWN_SETS:
                     seen = set()
                 if found:
@@ -255,7 +274,6 @@ def signature_rows(texts: DataFrame, width: int, similarity: Similarity) -> Data
 
 
 KNOWN_SETS = 1_000_000  # sets a task remembers to have given the rows of
-KNOWN_WORDS = 500_000  # different words whose hashes a task remembers
 
 
 def join_documents(
@@ -598,12 +616,9 @@ def _candidate_sets(
     once = found.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
             for piece in pieces(batch, "text"):
-                sets = [shingle_set(t, width, known) for t in piece.column("text").to_pylist()]
-                if len(known) > KNOWN_WORDS:
-                    known = {}
+                sets = shingle_sets(piece.column("text"), width)
                 elements = pa.array([s.tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), elements], ["node", "elements"]

@@ -1,22 +1,27 @@
-"""Words of whole texts in flat arrays, and the crc32 of many runs of bytes at once.
+"""Words of whole texts in flat arrays, and hashes of many runs of bytes at once.
 
-A word is a maximal run of digits, letters a-z (A-Z become these) and characters beyond ASCII.
-All of the latter are bytes of 128 or more in UTF-8, so texts are cut on bytes.
+A word is a maximal run of digits, letters a-z (A-Z become these) and characters beyond ASCII,
+or of all but white space. The characters beyond ASCII are bytes of 128 or more in UTF-8, so texts
+are cut on bytes.
 """
 
 from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
+from operator import xor
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 ASCII_WORD = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 IN_WORD = np.zeros(256, dtype=bool)
 IN_WORD[list(ASCII_WORD)] = True
 IN_WORD[128:] = True
+NOT_BLANK = np.ones(256, dtype=bool)
+NOT_BLANK[list(b" \t\n\x0b\x0c\r")] = False
 LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
 
 CRC_POLYNOMIAL = 0xEDB88320  # of the usual crc32, lowest bit first
@@ -41,15 +46,15 @@ class Words:
         return np.repeat(np.arange(len(self.per_text)), self.per_text)
 
 
-def words_of(texts: pa.Array) -> Words:
-    """Words of an array of strings; null has none."""
+def words_of(texts: pa.Array, in_word: np.ndarray = IN_WORD) -> Words:
+    """Words of an array of strings; null has none. ``in_word`` tells which bytes a word has."""
     texts = texts.fill_null("") if texts.null_count else texts
     texts = texts.cast(pa.large_string())
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = np.frombuffer(data or b"", dtype=np.uint8)[at[0] : at[-1]]
     borders = at - at[0]
-    inside = IN_WORD[raw]
+    inside = in_word[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     first = borders[:-1][borders[:-1] < len(raw)]
@@ -60,6 +65,47 @@ def words_of(texts: pa.Array) -> Words:
     return Words(kept, starts, per_text)
 
 
+# --- 64-bit hashes of words ------------------------------------------------------------
+
+BYTES_AT_ONCE = 1 << 20  # bytes of words hashed together
+
+
+@cache
+def _byte_numbers() -> np.ndarray:
+    """A fixed random number for a byte at a place in a word, at 256 * place + byte."""
+    places = range(256 * POSITIONS)
+    return np.array([xxhash.xxh3_64_intdigest(p.to_bytes(4, "little")) for p in places], np.uint64)
+
+
+def word_hash(word: bytes) -> int:
+    """Hash of one word: exclusive or of the numbers of its bytes; xxh3 of a long word."""
+    if len(word) > POSITIONS:
+        return xxhash.xxh3_64_intdigest(word)
+    numbers = _byte_numbers()
+    return reduce(xor, (int(numbers[256 * i + b]) for i, b in enumerate(word)), 0)
+
+
+def word_hashes(words: Words) -> np.ndarray:
+    """``word_hash`` of every word."""
+    data, starts = words.data, words.starts
+    sizes = np.diff(starts)
+    out = np.empty(len(sizes), dtype=np.uint64)
+    first = 0
+    while first < len(sizes):
+        # Whole words of about BYTES_AT_ONCE bytes; a longer one comes alone, and is hashed below.
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + BYTES_AT_ONCE, "right")) - 1)
+        if starts[last] - starts[first] <= BYTES_AT_ONCE:
+            own = starts[first:last] - starts[first]
+            block = data[starts[first] : starts[last]]
+            place = np.arange(len(block)) - np.repeat(own, sizes[first:last])
+            at = (np.minimum(place, POSITIONS - 1) << 8) + block
+            out[first:last] = np.bitwise_xor.reduceat(_byte_numbers()[at], own)
+        first = last
+    for i in np.flatnonzero(sizes > POSITIONS):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i + 1]].tobytes())
+    return out
+
+
 # --- crc32 -----------------------------------------------------------------------------
 #
 # Apart from a constant of the length, crc32 is linear: it is the exclusive or of what every

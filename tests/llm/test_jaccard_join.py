@@ -10,6 +10,7 @@ from paperloom.llm.jaccard_join import (
     compare_small,
     join_documents,
     shingle_set,
+    shingle_sets,
     signatures,
     sketch,
     whole_buckets,
@@ -143,6 +144,21 @@ def test_copies_in_many_tasks_link_to_near_copies(documents, words):
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i % 10_000) for i, *_ in data}
 
 
+def test_sets_of_a_piece_are_those_of_its_texts():
+    rng = random.Random(7)
+    letters = ["a", "B", "é", "É", "\x1c", "\x85", "z" * 64, "y" * 65, "x" * 3000]
+    texts = [None, "", " \t\n\x0b\f\r", "one", "w " * 5000, "q" * 2_000_000 + " r s t u"]
+    for _ in range(300):
+        texts.append("".join(rng.choice([*letters, *" \t\n\x0b\f\r"]) for _ in range(rng.randrange(60))))
+    for width in (1, 4, 5):
+        together = shingle_sets(pa.array(texts), width)
+        for text, found in zip(texts, together, strict=True):
+            assert np.array_equal(found, shingle_set(text, width, {}))
+            assert len(found) == len(shingles(text, width))
+    assert len(shingle_sets(pa.array(texts)[7:20], 4)) == 13
+    assert shingle_sets(pa.array([], pa.string()), 4) == []
+
+
 def test_small_buckets_compared_like_pair_by_pair():
     rng = np.random.default_rng(4)
     least = Similarity(4, 5)
