@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,6 +44,31 @@ def refresh_registry(
     )
 
 
+def discovery_counts() -> dict[str, Column]:
+    """Counts over a document table, as a run log has them.
+
+    A document counts as discovered in any state, as fetched once it is past discovery
+    and did not fail.
+    """
+    fetched = ~F.col("pipeline_status").isin("DISCOVERED", "FAILED")
+    return {"discovered_count": F.count(F.lit(1)), "fetched_count": F.count_if(fetched)}
+
+
+def write_counted(
+    df: DataFrame, path: str, counts: dict[str, Column], mode: str = "error"
+) -> dict[str, int]:
+    """Write ``df`` as Parquet and return aggregates over its rows, taken by the job that writes.
+
+    Nothing is read twice. The rows are observed right below the writer, in the last stage, whose
+    tasks count once each, however often they are tried or a lost executor makes others run again.
+    An empty table gives the aggregates of no rows.
+    """
+    seen = Observation()
+    columns = [column.alias(name) for name, column in counts.items()]
+    df.observe(seen, *columns).write.mode(mode).parquet(path)
+    return dict(seen.get)
+
+
 def stage_metrics(docs: DataFrame) -> DataFrame:
     """Documents per state."""
     return docs.groupBy("pipeline_status").agg(F.count("*").alias("n_documents"))
@@ -68,19 +93,33 @@ def run_log_row(
     status: str = "DONE",
     error: str | None = None,
 ) -> DataFrame:
-    """One run-log row with real counts.
-
-    A document counts as discovered in any state, as fetched once it is past discovery
-    and did not fail.
-    """
-    fetched = ~F.col("pipeline_status").isin("DISCOVERED", "FAILED")
-    per_run = docs.agg(
-        F.count("*").alias("discovered_count"), F.count_if(fetched).alias("fetched_count")
-    ).withColumn("run_id", F.lit(run_id).cast("bigint"))
+    """One run-log row with real counts: those of ``discovery_counts``, and the inserted rows."""
+    per_run = docs.agg(*[c.alias(name) for name, c in discovery_counts().items()]).withColumn(
+        "run_id", F.lit(run_id).cast("bigint")
+    )
     loaded = inserted.agg(F.count("*").alias("inserted_count")).withColumn(
         "run_id", F.lit(run_id).cast("bigint")
     )
-    return per_run.join(loaded, "run_id").select(
+    return _run_row(per_run.join(loaded, "run_id"), started_at, status, error)
+
+
+def counted_run_row(
+    spark: SparkSession,
+    counts: dict[str, int],
+    run_id: int,
+    started_at: Column,
+    status: str = "DONE",
+    error: str | None = None,
+) -> DataFrame:
+    """One run-log row from counts that ``write_counted`` gave; a count that is missing is 0."""
+    names = ("discovered_count", "fetched_count", "inserted_count")
+    known = {name: F.lit(counts.get(name, 0)).cast("bigint") for name in names}
+    row = spark.range(1).select(F.lit(run_id).cast("bigint").alias("run_id"))
+    return _run_row(row.withColumns(known), started_at, status, error)
+
+
+def _run_row(counted: DataFrame, started_at: Column, status: str, error: str | None) -> DataFrame:
+    return counted.select(
         "run_id",
         F.lit(None).cast("int").alias("source_id"),
         started_at.alias("started_at"),

@@ -23,11 +23,14 @@ from paperloom.operators.fulltext import parse_documents, with_raw_hash
 from paperloom.operators.quality import field_profile, qa_report
 from paperloom.operators.ranking import assign_ids, first_wins, top_k
 from paperloom.operators.registry import (
+    counted_run_row,
+    discovery_counts,
     refresh_registry,
     run_log_row,
     source_counts,
     stage_metrics,
     with_grand_total,
+    write_counted,
 )
 from paperloom.plans.catalog import (
     SQL_DOCUMENTS,
@@ -41,6 +44,7 @@ from paperloom.plans.catalog import (
 )
 from paperloom.session import scratch_path, written
 from paperloom.sources.bucketed import BucketedTable
+from paperloom.sources.layout import write_layout
 from paperloom.sources.files import (
     EXPORT_COLUMNS,
     append_runs,
@@ -309,18 +313,33 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_metrics(corpus_documents(spark, sf_dir))
 
 
-@query(
-    "run_log",
-    f"""{DOCS} SELECT 7 AS run_id, 'DONE' AS status, count(*) AS discovered_count,
+SQL_RUN_LOG = f"""{DOCS} SELECT 7 AS run_id, 'DONE' AS status, count(*) AS discovered_count,
   count(*) FILTER (pipeline_status NOT IN ('DISCOVERED', 'FAILED')) AS fetched_count,
-  count(*) FILTER (pipeline_status = 'LOADED') AS inserted_count FROM docs""",
-)
+  count(*) FILTER (pipeline_status = 'LOADED') AS inserted_count FROM docs"""
+
+
+@query("run_log", SQL_RUN_LOG)
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_documents(spark, sf_dir)
     row = run_log_row(docs, with_status(docs, "LOADED"), 7, F.current_timestamp())
     return row.select("run_id", "status", "discovered_count", "fetched_count", "inserted_count")
 
 
+@query("run_log_observed", SQL_RUN_LOG)
+def run_log_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log with counts taken by the jobs that write documents and loaded documents."""
+    path = scratch_path(spark, "documents")
+    docs = corpus_documents(spark, sf_dir)
+    counts = write_counted(docs, path, discovery_counts())
+    stored = spark.read.schema(docs.schema).parquet(path)
+    loaded = stored.where(F.col("pipeline_status") == "LOADED")
+    counts |= write_counted(
+        loaded, scratch_path(spark, "loaded"), {"inserted_count": F.count(F.lit(1))}
+    )
+    row = counted_run_row(spark, counts, 7, F.current_timestamp())
+    return row.select("run_id", "status", "discovered_count", "fetched_count", "inserted_count")
+
+
 SQL_QA = f"""SELECT n AS total_records, m AS missing_lipid_fields,
   round(100.0 * m / n, 2)::DOUBLE AS missing_lipid_fields_pct, 20.0::DOUBLE AS threshold_pct,
   100.0 * m / n <= 20 AS passed
@@ -531,3 +550,53 @@ def single_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first documents of a state; the limit is what a stage is asked for."""
     return with_status(corpus_documents(spark, sf_dir), "FETCHED", limit=30).select("document_id")
+
+
+def _laid_out(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents partitioned by state and texts, both in the same buckets of ids."""
+    docs, texts = scratch_path(spark, "documents"), scratch_path(spark, "texts")
+    made = corpus(spark, sf_dir).select(F.col("doc_id").alias("document_id"), "text")
+    return (
+        write_layout(
+            corpus_documents(spark, sf_dir), _table_name(docs), docs, 32, partition="pipeline_status"
+        ),
+        write_layout(made, _table_name(texts), texts, 32),
+    )
+
+
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+@query(
+    "layout_join",
+    f"""{DOCS} SELECT document_id, d.title, doi, sha256(c.text) AS text_hash
+FROM docs d JOIN corpus c ON c.doc_id = d.document_id WHERE pipeline_status = 'FETCHED'""",
+)
+def layout_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one state and their texts: one folder is read, and nothing is shuffled."""
+    docs, texts = _laid_out(spark, sf_dir)
+    fetched = docs.where(F.col("pipeline_status") == "FETCHED")
+    return fetched.join(texts, "document_id").select(
+        "document_id", "title", "doi", F.sha2("text", 256).alias("text_hash")
+    )
+
+
+@query(
+    "layout_update",
+    f"""{DOCS} SELECT document_id, CASE WHEN pipeline_status = 'DISCOVERED' THEN 'FETCHED'
+  ELSE pipeline_status END AS pipeline_status,
+  CASE WHEN pipeline_status = 'DISCOVERED' THEN sha256(c.text) END AS raw_hash
+FROM docs d JOIN corpus c ON c.doc_id = d.document_id""",
+)
+def layout_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discovered documents become fetched ones with the hash of their text, without a shuffle."""
+    docs, texts = _laid_out(spark, sf_dir)
+    waiting = docs.where(F.col("pipeline_status") == "DISCOVERED").select("document_id")
+    changes = waiting.join(texts, "document_id").select(
+        "document_id",
+        F.lit("FETCHED").alias("pipeline_status"),
+        F.sha2("text", 256).alias("raw_hash"),
+    )
+    current = docs.withColumn("raw_hash", F.lit(None).cast("string"))
+    return apply_changes(current, changes).select("document_id", "pipeline_status", "raw_hash")
