@@ -101,18 +101,20 @@ def mix(
     epochs (whole repeats), part (words of the last, cut repeat) and taken = epochs * size +
     part. The words taken from a source are its target rounded down, to the word: only the
     document on the cut gives part of its words. The order depends on the ids and ``seed``
-    alone, so reruns agree. Null texts have size 0; null sources are one source, null ids one
-    id; repeated rows are taken as separate rows in a row. An empty table gives no rows.
+    alone, for rows without an id on their texts, so reruns agree. Null texts have size 0; null
+    sources are one source; repeated rows are taken as separate rows in a row. An empty table
+    gives no rows.
     """
     spark = docs.sparkSession
-    text = F.col(f"`{text_col}`")
+    text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
     sized = written(
         docs.select(
-            F.col(f"`{id_col}`").alias("doc_id"),
+            doc_id.alias("doc_id"),
             F.xxhash64(text).alias("text_hash"),
             F.col(f"`{source_col}`").alias("source"),
             word_count(text).alias("size"),
-            F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")).alias("key"),
+            # Rows without an id would share one key, and so one range.
+            F.xxhash64(F.lit(seed), doc_id, F.when(doc_id.isNull(), text)).alias("key"),
         ),
         "sizes",
     )

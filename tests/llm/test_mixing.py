@@ -61,6 +61,26 @@ def test_many_ranges_give_the_same_cut(documents, words, monkeypatch):
     assert sorted(map(tuple, mix(documents(rows), [1, 3], most=1.2).collect())) == one
 
 
+def test_rows_without_an_id_lie_in_many_ranges(documents, words, monkeypatch):
+    from paperloom.llm import mixing
+
+    tables = {}
+
+    def written(df, name):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    write = mixing.written
+    monkeypatch.setattr(mixing, "written", written)
+    monkeypatch.setattr(mixing, "DOCS_PER_RANGE", 7)
+    rows = [(None, words(i, 1 + i % 9), "en", "a") for i in range(200)] + [(3, "one", "en", "b")]
+    got = mix(documents(rows), [1, 1], most=1.5).collect()
+    taken = sum(r["taken"] for r in got if r["source"] == "a")
+    assert taken == math.floor(next(r["target"] for r in got if r["source"] == "a"))
+    per_range = tables["ranges"].groupBy("source", "range").count().collect()
+    assert len(per_range) > 20 and max(r["count"] for r in per_range) < 30
+
+
 def test_empty_table_and_only_empty_texts(documents):
     assert mix(documents([]), [5, 2, 1]).count() == 0
     got = mix(documents([(1, None, None, None), (2, "", None, "a")]), [5, 2, 1]).collect()
