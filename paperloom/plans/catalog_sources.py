@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -144,22 +145,49 @@ MAPPED_SQL = {
 }
 
 
-def landed_responses(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Responses of many items each, and for some a second one that was cut off or is empty."""
+# What the items are made of; the body of a document is its ``head`` and its text.
+ITEM_FIELDS = "doc_id source_name external_id raw_doi doi title body text".split()
+
+
+def _of_element(item: str) -> str:
+    """An item's expression on the fields of a lambda variable ``d``; quoted parts stay."""
+    names = re.compile(rf"\b({'|'.join(ITEM_FIELDS)})\b")
+    parts = item.split("'")
+    parts[::2] = [names.sub(r"d.\1", code) for code in parts[::2]]
+    return "'".join(parts).replace("d.body", "concat(d.head, d.text)")
+
+
+def response_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of each response, from which those of any source are made.
+
+    All sources together need one shuffle of the texts: a plan that takes several of them reuses
+    it, since it does not depend on the source.
+    """
     base = corpus(spark, sf_dir).withColumn("doi", clean_doi(F.col("raw_doi")))
-    before, after, *items = RESPONSES[source]
-    per_document = base.select(
-        "doc_id", F.concat_ws(",", *[F.expr(f"to_json({item})") for item in items]).alias("items")
+    head = F.expr("left(body, length(body) - length(text))").alias("head")
+    document = F.struct(*[head if c == "body" else F.col(c) for c in ITEM_FIELDS])
+    return base.groupBy(F.floor(F.col("doc_id") / DOCS_PER_RESPONSE).alias("response_seq")).agg(
+        F.collect_list(document).alias("docs")
     )
+
+
+def landed_responses(
+    spark: SparkSession, sf_dir: str, source: str, documents: DataFrame | None = None
+) -> DataFrame:
+    """Responses of many items each, and for some a second one that was cut off or is empty.
+
+    ``documents`` are those of ``response_documents``, if they are at hand.
+    """
+    documents = response_documents(spark, sf_dir) if documents is None else documents
+    before, after, *items = RESPONSES[source]
+    texts = ", ".join(f"to_json({_of_element(item)})" for item in items)
+    per_document = f"transform(docs, d -> struct(d.doc_id, concat_ws(',', {texts}) AS items))"
     listed = F.array_join(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("doc_id", "items"))), lambda x: x["items"]
-        ),
-        ",",
+        F.transform(F.sort_array(F.expr(per_document)), lambda x: x["items"]), ","
+    )
+    whole = documents.select(
+        "response_seq", F.concat(F.lit(before), listed, F.lit(after)).alias("response")
     )
-    whole = per_document.groupBy(
-        F.floor(F.col("doc_id") / DOCS_PER_RESPONSE).alias("response_seq")
-    ).agg(F.concat(F.lit(before), listed, F.lit(after)).alias("response"))
     # The last columns of each copy: added to its place in the order of arrival, and its text.
     copies = F.array(
         F.struct(F.lit(0).alias("later"), F.col("response").alias("text")),

@@ -258,3 +258,31 @@ def test_only_fetched_documents_are_parsed(spark):
     assert [(r["document_id"], r["abstract_or_body"], r["sections"]) for r in rows] == [
         (1, "Abstract x", {"abstract": "x"})
     ]
+
+
+def small_corpus(spark, folder, rows=120):
+    """A folder with documents of a few responses."""
+    spark.range(rows).selectExpr(
+        "id AS doc_id", "concat('Title ', id, '. Body ', id) AS text", "'en' AS lang",
+        "concat('src', id % 3) AS source", "10L AS n_chars",
+    ).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_all_sources_share_one_shuffle_of_the_texts(spark, tmp_path):
+    from paperloom.plans import catalog_sources as catalog
+
+    found = catalog.discover_union(spark, small_corpus(spark, tmp_path))
+    rows = found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= len(catalog.RESPONSES) - 1
+    pubmed = {r["external_id"]: r for r in rows if r["source_name"] == "PubMed"}
+    assert len(pubmed) == 120 and pubmed["7"]["title"] == "Title 7"
+    assert pubmed["7"]["abstract_text"] == "Title 7. Body 7"
+
+
+def test_names_in_quotes_stay(spark):
+    from paperloom.plans.catalog_sources import _of_element
+
+    made = _of_element("named_struct('doi', concat('https://doi.org/', doi), 'x', body)")
+    assert made == "named_struct('doi', concat('https://doi.org/', d.doi), 'x', concat(d.head, d.text))"
