@@ -35,7 +35,13 @@ def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
     each value comes from. Rows without a complete key stay as they are: they match nothing,
     not even each other.
     """
-    carried = [c for c in NULLABLE_COLUMNS if c in batch.columns]
+    keyed_rows = has_key(key)
+    keyed = _fold_keyed(batch.where(keyed_rows), key, order)
+    return keyed.unionByName(_unfolded(batch.where(~keyed_rows), key, order))
+
+
+def _filled(batch: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The batch with title and status, and the names of its value columns."""
     filled = batch.withColumns(
         {
             "title": first_present(F.col("title"), F.lit("Untitled")),
@@ -44,28 +50,30 @@ def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
             else F.lit(DISCOVERED),
         }
     )
-    values = [*carried, "title", "pipeline_status"]
-    keyed_rows = has_key(key)
+    return filled, [*[c for c in NULLABLE_COLUMNS if c in batch.columns], "title", "pipeline_status"]
 
-    def position(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.col(order))
 
-    def positions(of: Callable[[str], Column]) -> Column:
-        return F.create_map(*[x for c in values for x in (F.lit(c), of(c))]).alias("value_seq")
+def _positions(values: list[str], of: Callable[[str], Column]) -> Column:
+    return F.create_map(*[x for c in values for x in (F.lit(c), of(c))]).alias("value_seq")
 
-    keyed = (
-        filled.where(keyed_rows)
-        .groupBy(*key)
-        .agg(
-            *[F.max_by(c, position(c)).alias(c) for c in values],
-            F.min(order).alias("first_seq"),
-            positions(lambda c: F.max(position(c))),
-        )
-    )
-    unkeyed = filled.where(~keyed_rows).select(
-        *key, *values, F.col(order).alias("first_seq"), positions(position)
+
+def _position(column: str, order: str) -> Column:
+    return F.when(F.col(column).isNotNull(), F.col(order))
+
+
+def _fold_keyed(batch: DataFrame, key: list[str], order: str) -> DataFrame:
+    filled, values = _filled(batch)
+    return filled.groupBy(*key).agg(
+        *[F.max_by(c, _position(c, order)).alias(c) for c in values],
+        F.min(order).alias("first_seq"),
+        _positions(values, lambda c: F.max(_position(c, order))),
     )
-    return keyed.unionByName(unkeyed)
+
+
+def _unfolded(batch: DataFrame, key: list[str], order: str) -> DataFrame:
+    filled, values = _filled(batch)
+    positions = _positions(values, lambda c: _position(c, order))
+    return filled.select(*key, *values, F.col(order).alias("first_seq"), positions)
 
 
 def has_key(key: list[str]) -> Column:
@@ -84,13 +92,29 @@ def upsert_documents(
     result is the same however rows are cut into batches and whenever they arrive, but for the
     ids. Unknown keys get the next ids in order of arrival.
 
-    Ids are found on keys alone; the wide rows are joined once. Only keyed rows are joined,
-    since rows without a key would all meet in one task.
+    Ids are found on keys alone, and joined by key like the snapshot, so the wide rows of the batch
+    are shuffled once, when they are folded. Only keyed rows are joined, since rows without a key
+    would all meet in one task. The batch is read for its keys first and then as a whole, so it
+    has to give the same rows each time.
     """
     key = key or DOCUMENT_KEY
-    folded = written(fold_updates(batch, key, order), "folded")
+    keyed_rows = has_key(key)
+    # Rows without a key stay apart, each by a number of its own.
+    own = F.when(~keyed_rows, F.monotonically_increasing_id()).alias("_own")
+    places = written(
+        batch.select(*key, order, own)
+        .groupBy(*key, "_own")
+        .agg(F.min(order).alias("first_seq"))
+        .drop("_own"),
+        "places",
+    )
     last_id = current.agg(F.max("document_id")).first()[0] or 0
-    return merge_folded(current, folded, key, last_id)
+    ids = _new_ids(current, places, key, last_id)
+    keyed = _fold_keyed(batch.where(keyed_rows), key, order)
+    loose = None
+    if not places.where(~keyed_rows).isEmpty():
+        loose = _unfolded(batch.where(~keyed_rows), key, order)
+    return _merged(current, keyed, loose, ids, key)
 
 
 def merge_folded(
@@ -100,23 +124,35 @@ def merge_folded(
 
     ``current`` may be a part of the snapshot, if it has all rows with the keys of ``folded``.
     """
-    carried = [c for c in NULLABLE_COLUMNS if c in current.columns]
-    for c in carried:
-        if c not in folded.columns:
-            folded = folded.withColumn(c, F.lit(None).cast(current.schema[c].dataType))
-    values = [*carried, "title", "pipeline_status"]
     keyed_rows = has_key(key)
+    ids = _new_ids(current, folded, key, last_id)
+    return _merged(current, folded.where(keyed_rows), folded.where(~keyed_rows), ids, key)
+
 
+def _new_ids(current: DataFrame, places: DataFrame, key: list[str], last_id: int) -> DataFrame:
+    """Ids (*key, first_seq, new_id) of what is new in ``places`` (*key, first_seq)."""
+    keyed_rows = has_key(key)
+    places = places.select(*key, "first_seq")
     known = current.where(keyed_rows).select(*key)
-    arrivals = (
-        folded.where(keyed_rows)
-        .select(*key, "first_seq")
-        .join(known, key, "left_anti")
-        .select("first_seq")
-        .unionByName(folded.where(~keyed_rows).select("first_seq"))
+    arrivals = places.where(keyed_rows).join(known, key, "left_anti")
+    return assign_ids(
+        arrivals.unionByName(places.where(~keyed_rows)), "first_seq", "new_id", last_id + 1
     )
-    ids = assign_ids(arrivals, "first_seq", "new_id", last_id + 1)
-    fresh = folded.join(ids, "first_seq", "left")
+
+
+def _merged(
+    current: DataFrame, keyed: DataFrame, loose: DataFrame | None, ids: DataFrame, key: list[str]
+) -> DataFrame:
+    """The snapshot after folded rows with a key and, if there are any, rows without one."""
+    carried = [c for c in NULLABLE_COLUMNS if c in current.columns]
+    for c in carried:
+        if c not in keyed.columns:
+            missing = F.lit(None).cast(current.schema[c].dataType)
+            keyed = keyed.withColumn(c, missing)
+            loose = loose.withColumn(c, missing) if loose is not None else None
+    values = [*carried, "title", "pipeline_status"]
+    keyed_rows = has_key(key)
+    fresh = keyed.join(ids.where(keyed_rows).select(*key, "new_id"), key, "left")
 
     remembers = "value_seq" in current.columns
     old = current.where(keyed_rows).select(
@@ -140,16 +176,17 @@ def merge_folded(
         ]
     )
     columns = ["document_id", *key, *values, *(["value_seq"] if remembers else [])]
-    merged = old.join(fresh.where(keyed_rows), key, "full").select(
+    merged = old.join(fresh, key, "full").select(
         F.coalesce("document_id", "new_id").alias("document_id"),
         *key,
         *[chosen(c).alias(c) for c in values],
         *([positions.alias("value_seq")] if remembers else []),
     )
-    unkeyed = fresh.where(~keyed_rows).withColumnRenamed("new_id", "document_id")
-    return merged.unionByName(current.where(~keyed_rows).select(*columns)).unionByName(
-        unkeyed.select(*columns)
-    )
+    merged = merged.unionByName(current.where(~keyed_rows).select(*columns))
+    if loose is None:
+        return merged
+    places = ids.where(~keyed_rows).select("first_seq", F.col("new_id").alias("document_id"))
+    return merged.unionByName(loose.join(places, "first_seq", "left").select(*columns))
 
 
 def _at(positions: str, column: str) -> Column:

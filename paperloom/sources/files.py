@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from paperloom import schemas
 from paperloom.functions.exprs import evaluated
 from paperloom.operators.merge import upsert_documents
-from paperloom.session import forget, written
+from paperloom.session import forget, shuffles_dropped, written
 
 # The columns of an export, in order.
 EXPORT_COLUMNS = [
@@ -248,7 +248,8 @@ class SnapshotTable:
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
 
     def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self._folder(version))
+        with shuffles_dropped(df.sparkSession):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self._folder(version))
 
     def upsert(self, batch: DataFrame, version: int, order: str = "ingest_seq") -> None:
         """Write ``version``: the one before it, or else the latest, after the batch.

@@ -166,3 +166,25 @@ def test_several_changes_of_one_row_count_in_order(spark):
     )
     got = apply_changes(rows, changes, order="n").orderBy("document_id").collect()
     assert [tuple(r) for r in got] == [(1, "new", "z"), (2, "b", "y")]
+
+
+def test_wide_rows_are_shuffled_by_key_only(spark):
+    """Ids meet the folded rows by key, the way these are dealt already."""
+    batch = spark.createDataFrame(
+        [("s", f"x{n}", f"t{n}", None, None, n) for n in range(20)],
+        "source_name string, external_id string, title string, doi string, abstract_text string, ingest_seq bigint",
+    )
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        spark.conf.set(names[0], -1)
+        spark.conf.set(names[1], False)
+        merged = merge.upsert_documents(empty(spark), batch)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "hashpartitioning(source_name" in plan and "hashpartitioning(first_seq" not in plan
+    assert sorted((r["document_id"], r["external_id"]) for r in merged.collect()) == [
+        (n + 1, f"x{n}") for n in range(20)
+    ]
