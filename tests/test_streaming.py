@@ -163,3 +163,27 @@ def test_a_batch_of_first_seen_that_is_run_again_is_written_anew(spark, tmp_path
     spark.createDataFrame([("a",)], docs.schema).write.parquet(f"{out}/batch=0")
     first_seen_stream(docs, ["external_id"], out, str(tmp_path / "c")).awaitTermination()
     assert sorted(r[0] for r in read_first_seen(spark, out, docs.schema).collect()) == ["a", "b"]
+
+
+def several_files(spark, folder):
+    """Documents of a dozen responses, as rows of as many files."""
+    rows = spark.range(600).selectExpr(
+        "id AS doc_id", "concat('Title ', id, '. Body') AS text", "'en' AS lang",
+        "concat('src', id % 3) AS source", "10L AS n_chars",
+    )
+    rows.write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_landed_files_are_compressed_and_whole(spark, tmp_path):
+    from paperloom.plans.catalog_sources import landed_responses
+
+    folder = several_files(spark, tmp_path)
+    landings = catalog_linkage._landed(spark, folder)
+    assert len(landings) == 8
+    for name in ("PubMed", "OpenAlex"):
+        read = spark.read.schema(schemas.LANDED).json(landings[name])
+        assert all(f.endswith(".gz") for f in read.inputFiles())
+        assert sorted(map(tuple, read.collect()), key=str) == sorted(
+            map(tuple, landed_responses(spark, folder, name).collect()), key=str
+        )
