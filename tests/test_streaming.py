@@ -187,3 +187,31 @@ def test_landed_files_are_compressed_and_whole(spark, tmp_path):
         assert sorted(map(tuple, read.collect()), key=str) == sorted(
             map(tuple, landed_responses(spark, folder, name).collect()), key=str
         )
+
+
+def test_the_rest_of_a_stopped_stream_is_one_batch(spark, tmp_path, monkeypatch):
+    """A snapshot per batch of files would take disk with the square of the files."""
+    conf = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "2k",
+        "spark.sql.files.openCostInBytes": "2k",
+    }
+    before = {c: spark.conf.get(c) for c in conf}
+    versions = []
+    upsert = SnapshotTable.upsert
+
+    def counted(self, batch, version, order="ingest_seq"):
+        versions.append(version)
+        upsert(self, batch, version, order)
+
+    monkeypatch.setattr(SnapshotTable, "upsert", counted)
+    monkeypatch.setattr(catalog_linkage, "RESTART_FILES", 1)
+    try:
+        for c, value in conf.items():
+            spark.conf.set(c, value)
+        rows = catalog_linkage.stream_restart(spark, several_files(spark, tmp_path)).collect()
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert versions == [1, 1, 2]
+    assert sum(r["source_name"] == "PubMed" for r in rows) == 600
