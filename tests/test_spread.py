@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from paperloom.operators.spread import FILES_PER_CORE, spread, tasks_with_rows
+from paperloom.operators import spread as spreading
+from paperloom.operators.spread import FILES_PER_CORE, scan_bytes, spread, tasks_with_rows
 
 
 def test_rows_of_one_row_group_reach_all_cores(spark, tmp_path):
@@ -34,3 +35,20 @@ def test_an_empty_table_stays_empty(spark, tmp_path):
     path = str(tmp_path / "empty")
     spark.range(0).write.parquet(path)
     assert spread(spark.read.parquet(path)).count() == 0
+
+
+def test_large_tasks_are_dealt_out_by_bytes(spark, tmp_path, monkeypatch):
+    """A scan that keeps all cores busy, but with tasks that grow with the table."""
+    path = str(tmp_path / "large")
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, 40_000, 1, FILES_PER_CORE * cores).write.parquet(path)
+    large = spark.read.parquet(path)
+    total, largest = scan_bytes(large)
+    assert 0 < largest <= total
+    assert spread(large) is large
+    monkeypatch.setattr(spreading, "TASK_BYTES", total // (10 * cores))
+    monkeypatch.setattr(spreading, "TASKS_PER_CORE", 1)
+    assert scan_bytes(large)[1] > spreading.TASK_BYTES
+    dealt = spread(large)
+    assert dealt.rdd.getNumPartitions() >= 10 * cores
+    assert dealt.agg(F.count("*"), F.sum("id")).first() == large.agg(F.count("*"), F.sum("id")).first()
