@@ -8,6 +8,7 @@ from paperloom.functions import extraction as ex
 from paperloom.functions.exprs import json_object, unique_ignoring_case
 from paperloom.functions.patterns import any_of
 from paperloom.functions.vocab import CELLS, LIPIDS, PAYLOADS, ROUTES, Vocabulary
+from paperloom.plans.catalog_text import payload_summary
 from paperloom.plans.etl import extract_records
 
 # Two texts that name every kind of field, made up for this test.
@@ -123,3 +124,14 @@ def test_json_object_is_spaced_and_escaped(spark):
     df = spark.createDataFrame([(1, 'a"b\n', None)], "n int, s string, z string")
     got = df.select(json_object({"n": F.col("n"), "s": F.col("s"), "z": F.col("z")})).first()[0]
     assert got == '{"n": 1, "s": "a\\"b\\n", "z": null}'
+
+
+def test_payload_summary_reads_cleaned_text(spark, tmp_path):
+    """Markup hides no names and gives none, and white space inside a name does not count."""
+    texts = ['one <img alt="mRNA"> pDNA with ionizable lipid', "two <br/>pDNA with ionizable\n lipid", "si<i>RNA"]
+    rows = [(10 + 6 * n, "src", "en", t, len(t)) for n, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string, n_chars bigint")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["payload"]: r for r in payload_summary(spark, str(tmp_path)).collect()}
+    assert {p: r["n_records"] for p, r in found.items()} == {"pDNA": 2, None: 1}
+    assert found["pDNA"]["n_formulations"] == 1
