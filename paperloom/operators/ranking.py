@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from paperloom.session import written
 
 SALTS = 64
+# Bits in which the keys that come again are marked, 64 to a row of a table that is broadcast.
+MARK_BITS = 26
 
 
 def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -20,6 +22,31 @@ def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return kept.select("_row.*")
 
 
+def first_wins_wide(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``first_wins`` for wide rows: only those whose key comes again are shuffled.
+
+    Hashes of the keys are counted first, and those that come more than once marked in a bitmap of fixed
+    size. A row whose hash is not marked is the only one of its key; where so many keys come again that
+    all bits are set, all rows are shuffled as by ``first_wins``. ``df`` is computed three times, and
+    has to give the same keys each time.
+    """
+    place = F.pmod("_hash", F.lit(1 << MARK_BITS))
+    hashed = df.withColumn("_hash", F.xxhash64(*keys)).withColumns(
+        {"_word": F.shiftright(place, 6), "_bit": F.pmod(place, F.lit(64)).cast("int")}
+    )
+    marks = (
+        hashed.groupBy("_hash", "_word", "_bit")
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > 1)
+        .groupBy("_word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    )
+    marked = hashed.join(F.broadcast(marks), "_word", "left")
+    again = F.coalesce(F.getbit("_bits", "_bit") == 1, F.lit(False))
+    alone = marked.where(~again).select(*df.columns)
+    return alone.unionByName(first_wins(marked.where(again).select(*df.columns), keys, order))
+
+
 def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     kept = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.col(order)).alias("_row"))
     return kept.select("_row.*")

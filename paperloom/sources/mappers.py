@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 from paperloom import schemas
 from paperloom.functions.exprs import first_present, present
 from paperloom.functions.identifiers import DOI_SITE, clean_doi, guarded_abstract
-from paperloom.operators.ranking import first_wins
+from paperloom.operators.ranking import first_wins_wide
 
 Fields = dict[str, Column | str | None]
 
@@ -337,6 +337,6 @@ def discover(
         for rank, (name, df) in enumerate(landed.items())
     ]
     everything = reduce(DataFrame.unionByName, mapped)
-    return first_wins(everything, ["source_name", "external_id"], "ingest_seq").withColumn(
+    return first_wins_wide(everything, ["source_name", "external_id"], "ingest_seq").withColumn(
         "pipeline_status", F.lit("DISCOVERED")
     )

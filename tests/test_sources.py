@@ -5,6 +5,7 @@ import pytest
 from paperloom import schemas
 from paperloom.operators.filters import allowed_sources, with_status
 from paperloom.operators.fulltext import parse_documents, payload_text, resolve_fulltext, with_raw_hash
+from paperloom.operators.ranking import first_wins, first_wins_wide
 from paperloom.sources.mappers import (
     SOURCES,
     Source,
@@ -286,3 +287,52 @@ def test_names_in_quotes_stay(spark):
 
     made = _of_element("named_struct('doi', concat('https://doi.org/', doi), 'x', body)")
     assert made == "named_struct('doi', concat('https://doi.org/', d.doi), 'x', concat(d.head, d.text))"
+
+
+def _shuffled_bytes(df):
+    """Bytes that the shuffles of a query write, from the plan after it has run."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), 0
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            stack.append(node.executedPlan())
+        elif "QueryStage" in name:
+            stack.append(node.plan())
+        else:
+            if name == "Exchange":
+                found += node.metrics().apply("shuffleBytesWritten").value()
+            stack += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_first_wins_wide_shuffles_only_what_comes_again(spark):
+    """Texts of keys that come once stay where they are."""
+    text = "concat_ws(' ', transform(sequence(1, 200), x -> sha1(concat(id, '-', x))))"
+    df = spark.range(400).selectExpr(
+        "if(id < 380, id, 380 + id % 5) AS k", "if(id % 2 = 0, NULL, 's') AS s", "id AS seq", f"{text} AS t"
+    )
+    rows = [sorted(map(tuple, f(df, ["k", "s"], "seq").collect()), key=repr) for f in (first_wins, first_wins_wide)]
+    assert rows[0] == rows[1] and len(rows[1]) == 390
+    whole, sparing = (_shuffled_bytes(f(df, ["k", "s"], "seq")) for f in (first_wins, first_wins_wide))
+    assert sparing < whole / 5
+
+
+def test_first_wins_wide_with_nulls_copies_and_nothing(spark):
+    rows = [(None, 3, "c"), (None, 1, "a"), ("x", 2, "b"), ("y", 5, "e"), ("y", 5, "e")]
+    for some in (rows, []):
+        df = spark.createDataFrame(some, "k string, seq int, t string")
+        plain, wide = (sorted(map(tuple, f(df, ["k"], "seq").collect()), key=repr) for f in (first_wins, first_wins_wide))
+        assert wide == plain and len(wide) == (3 if some else 0)
+
+
+def test_discover_shuffles_few_whole_documents(spark):
+    items = [{"doi": str(n), "title": "T", "abstract": "".join(map(chr, range(65, 91))) * 9 + str(n)} for n in range(300)]
+    again = [{"doi": "7", "title": "later"}, {"doi": "300", "title": "new"}]
+    rows = [(n, json.dumps({"collection": part})) for n, part in enumerate((items, again))]
+    found = discover({"bioRxiv": spark.createDataFrame(rows, schemas.LANDED)})
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    titles = {r["external_id"]: r["title"] for r in found.collect()}
+    assert len(titles) == 301 and (titles["7"], titles["300"]) == ("T", "new")
