@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from paperloom.functions.exprs import first_present
 from paperloom.operators.joins import HOT_ROWS, spread_left_join
 from paperloom.operators.ranking import assign_ids
-from paperloom.session import written
+from paperloom.operators.spread import scan_bytes
+from paperloom.session import SLICE, Slices, forget, written
 
 DOCUMENT_KEY = ["source_name", "external_id"]
 NULLABLE_COLUMNS = [
@@ -26,6 +28,13 @@ NULLABLE_COLUMNS = [
     "raw_hash",
 ]
 DISCOVERED = "DISCOVERED"
+# Slices of a batch, and how many bytes of values are merged at once, for each core of the cluster, if
+# they are in several slices. A merge has no more than that shuffled and not yet written.
+SLICES = 32
+MERGED_BYTES = 128 << 20
+# Bytes of values in a byte of a snapshot's files, roughly.
+UNPACKED = 3
+BYTES = "_bytes"
 
 
 def fold_updates(batch: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -93,27 +102,111 @@ def upsert_documents(
     ids. Unknown keys get the next ids in order of arrival.
 
     Ids are found on keys alone, and joined by key like the snapshot, so the wide rows of the batch
-    are shuffled once, when they are folded. Only keyed rows are joined, since rows without a key
+    are shuffled once, when they are folded; ``upsert_slices`` does the same in parts. Only keyed rows are joined, since rows without a key
     would all meet in one task. The batch is read for its keys first and then as a whole, so it
     has to give the same rows each time.
     """
     key = key or DOCUMENT_KEY
+    places = _places(batch, key, order)
+    ids = _ids_after(current, places, key)
+    return _upserted(current, batch, ids, key, order, _any_loose(places, key))
+
+
+def upsert_slices(
+    current: DataFrame, batch: DataFrame, key: list[str] | None = None, order: str = "ingest_seq"
+) -> Iterator[tuple[DataFrame, bool]]:
+    """``upsert_documents`` in parts, each with whether it is the last.
+
+    The batch is read once and written in slices of the keys, which are merged one after the other, so
+    no shuffle holds the whole of it. A part has to be written before the next is asked for, which
+    deletes what it was made of.
+    """
+    key = key or DOCUMENT_KEY
     keyed_rows = has_key(key)
+
+    def number(otherwise: str) -> Column:
+        # Rows without a key would all have the same few hashes.
+        return F.when(keyed_rows, F.xxhash64(*key)).otherwise(F.xxhash64(otherwise))
+
+    updates = Slices(_sized(current, batch, key, order), number(order), SLICES, "updates")
+    places = _places(updates.all(), key, order)
+    ids = _ids_after(current, places, key)
+    any_loose = _any_loose(places, key)
+    forget(places)
+    groups = _groups(updates.all(), current)
+    if len(groups) == 1:
+        yield _upserted(current, updates.read(groups[0]), ids, key, order, any_loose), True
+        updates.drop(groups[0])
+        return
+    old = Slices(current, number("document_id"), SLICES, "current")
+    ids = ids.withColumn(SLICE, F.pmod(number("first_seq"), F.lit(SLICES)))
+    for group in groups:
+        new = ids.where(F.col(SLICE).isin(group))
+        part = _upserted(old.read(group), updates.read(group), new, key, order, any_loose)
+        yield part, group is groups[-1]
+        old.drop(group)
+        updates.drop(group)
+
+
+def _groups(updates: DataFrame, current: DataFrame) -> list[list[int]]:
+    """Slices that are merged together."""
+    rows = updates.groupBy(SLICE).agg(F.sum(BYTES).alias("n")).collect()
+    size = {r[SLICE]: r["n"] for r in rows}
+    old = UNPACKED * scan_bytes(current)[0] / SLICES if current.inputFiles() else 0
+    most = MERGED_BYTES * updates.sparkSession.sparkContext.defaultParallelism
+    groups, room = [], 0
+    for k in range(SLICES):
+        n = size.get(k, 0) + old
+        if not groups or n > room:
+            groups.append([])
+            room = most
+        groups[-1].append(k)
+        room -= n
+    return groups
+
+
+def _sized(current: DataFrame, batch: DataFrame, key: list[str], order: str) -> DataFrame:
+    """The columns of the batch that a merge reads, each of a type that can be written, and their bytes."""
+    names = [c for c in [*NULLABLE_COLUMNS, "title", "pipeline_status"] if c in batch.columns]
+    typed = [
+        F.col(c).cast(current.schema[c].dataType if c in current.columns else "string").alias(c)
+        if isinstance(batch.schema[c].dataType, NullType)
+        else F.col(c)
+        for c in names
+    ]
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in names]
+    return batch.select(*key, order, *typed, reduce(lambda a, b: a + b, sizes).alias(BYTES))
+
+
+def _places(batch: DataFrame, key: list[str], order: str) -> DataFrame:
+    """Keys of the batch (*key, first_seq), written."""
     # Rows without a key stay apart, each by a number of its own.
-    own = F.when(~keyed_rows, F.monotonically_increasing_id()).alias("_own")
-    places = written(
+    own = F.when(~has_key(key), F.monotonically_increasing_id()).alias("_own")
+    return written(
         batch.select(*key, order, own)
         .groupBy(*key, "_own")
         .agg(F.min(order).alias("first_seq"))
         .drop("_own"),
         "places",
     )
+
+
+def _ids_after(current: DataFrame, places: DataFrame, key: list[str]) -> DataFrame:
+    """Ids of what is new in ``places``, after those of the snapshot."""
     last_id = current.agg(F.max("document_id")).first()[0] or 0
-    ids = _new_ids(current, places, key, last_id)
+    return _new_ids(current, places, key, last_id)
+
+
+def _any_loose(places: DataFrame, key: list[str]) -> bool:
+    return not places.where(~has_key(key)).isEmpty()
+
+
+def _upserted(
+    current: DataFrame, batch: DataFrame, ids: DataFrame, key: list[str], order: str, any_loose: bool
+) -> DataFrame:
+    keyed_rows = has_key(key)
     keyed = _fold_keyed(batch.where(keyed_rows), key, order)
-    loose = None
-    if not places.where(~keyed_rows).isEmpty():
-        loose = _unfolded(batch.where(~keyed_rows), key, order)
+    loose = _unfolded(batch.where(~keyed_rows), key, order) if any_loose else None
     return _merged(current, keyed, loose, ids, key)
 
 

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from paperloom import schemas
 from paperloom.operators import merge
 from paperloom.operators.joins import spread_left_join
+from paperloom.operators.merge import upsert_documents
 from paperloom.operators.ranking import assign_ids, first_wins, last_wins, top_k
+from paperloom.session import written
+from paperloom.sources.files import SnapshotTable
 
 BATCH = (
     "source_name string, external_id string, doi string, title string, abstract_text string, "
@@ -188,3 +191,86 @@ def test_wide_rows_are_shuffled_by_key_only(spark):
     assert sorted((r["document_id"], r["external_id"]) for r in merged.collect()) == [
         (n + 1, f"x{n}") for n in range(20)
     ]
+
+
+DOCS = "source_name string, external_id string, title string, doi string, abstract_text string, ingest_seq bigint"
+
+
+def _random_docs(spark, seed, n, first):
+    """Documents with repeated keys, and some without a key."""
+    rng = random.Random(seed)
+    rows = [
+        (
+            rng.choice(["A", "B", None]) if rng.random() < 0.2 else "A",
+            None if rng.random() < 0.1 else f"x{rng.randrange(n)}",
+            rng.choice(["", None, f"t{i}"]),
+            rng.choice([None, f"10/{i}"]),
+            rng.choice([None, "text " * 20]),
+            first + i,
+        )
+        for i in range(n)
+    ]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_upsert_in_slices_is_the_upsert(spark, monkeypatch):
+    monkeypatch.setattr(merge, "MERGED_BYTES", 100)
+    monkeypatch.setattr(merge, "SLICES", 6)
+    current = written(spark.createDataFrame([], schemas.DOCUMENTS), "none")
+    for n, batch in enumerate([_random_docs(spark, 1, 120, 0), _random_docs(spark, 2, 90, 60), _random_docs(spark, 3, 0, 0)]):
+        expected = written(upsert_documents(current, batch).select(*current.columns), "expected")
+        parts, last = [], []
+        for part, is_last in merge.upsert_slices(current, batch):
+            parts.append(written(part.select(*current.columns), "part"))
+            last.append(is_last)
+        assert last == [False] * (len(last) - 1) + [True] and (len(last) > 3 or n == 2)
+        got = [r.asDict(True) for p in parts for r in p.collect()]
+        assert sorted(got, key=repr) == sorted((r.asDict(True) for r in expected.collect()), key=repr)
+        current = expected
+
+
+def test_no_shuffle_holds_the_whole_batch(spark, monkeypatch):
+    """Each part is made of its own slices, which are deleted once it is written."""
+    made = []
+
+    class Noted(merge.Slices):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+
+    monkeypatch.setattr(merge, "Slices", Noted)
+    monkeypatch.setattr(merge, "MERGED_BYTES", 100)
+    monkeypatch.setattr(merge, "SLICES", 6)
+    empty = spark.createDataFrame([], schemas.DOCUMENTS)
+    counts, left = [], []
+    for part, _ in merge.upsert_slices(empty, _random_docs(spark, 4, 200, 0)):
+        left.append(made[0].all().count())
+        counts.append(part.count())
+    assert left == sorted(left, reverse=True) and left[0] == 200 and max(counts) < 100
+    folder = spark._jvm.org.apache.hadoop.fs.Path(made[0].path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert [s.getPath().getName() for s in files.listStatus(folder)] == ["_SUCCESS"]
+
+
+def test_a_version_counts_once_all_its_parts_are_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "MERGED_BYTES", 100)
+    monkeypatch.setattr(merge, "SLICES", 6)
+    table = SnapshotTable(spark, str(tmp_path / "t"), schemas.DOCUMENTS)
+    one, two = _random_docs(spark, 5, 50, 0), _random_docs(spark, 6, 50, 50)
+    table.upsert(one, 1)
+    upserted, calls = merge._upserted, []
+
+    def failing(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return upserted(*args)
+
+    monkeypatch.setattr(merge, "_upserted", failing)
+    with pytest.raises(RuntimeError):
+        table.upsert(two, 2)
+    assert table.latest_version() == 1 and not table.has(2)
+    table.upsert(two, 2)
+    expected = upsert_documents(table.read(1), two).select(*table.read(1).columns)
+    rows = [sorted((r.asDict(True) for r in df.collect()), key=repr) for df in (table.read(), expected)]
+    assert table.latest_version() == 2 and rows[0] == rows[1]
