@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paperloom import schemas
 from paperloom.plans import catalog_linkage
-from paperloom.session import scratch_path
+from paperloom.session import path_exists, scratch_path
 from paperloom.sources.files import SnapshotTable
 from paperloom.sources.mappers import SOURCES
 from paperloom.streaming.incremental import (
@@ -215,3 +215,19 @@ def test_the_rest_of_a_stopped_stream_is_one_batch(spark, tmp_path, monkeypatch)
             spark.conf.set(c, value)
     assert versions == [1, 1, 2]
     assert sum(r["source_name"] == "PubMed" for r in rows) == 600
+
+
+@pytest.mark.parametrize("name", ["stream_upsert", "stream_restart"])
+def test_landed_files_go_once_they_are_merged(spark, tmp_path, monkeypatch, name):
+    """The rows of the result are in the snapshot; its readers need no second copy of the texts."""
+    land_all, folders = catalog_linkage._landed, []
+
+    def landed(spark, sf_dir):
+        landings = land_all(spark, sf_dir)
+        folders.extend(landings.values())
+        return landings
+
+    monkeypatch.setattr(catalog_linkage, "_landed", landed)
+    rows = getattr(catalog_linkage, name)(spark, several_files(spark, tmp_path))
+    assert len(folders) == 8 and not any(path_exists(spark, f) for f in folders)
+    assert rows.where("source_name = 'PubMed'").count() == 600
